@@ -21,6 +21,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), budget=512)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomdoc.llm.substring_dedup import removed_words
+
+    return removed_words(table(spark, sf_dir, "documents"), window=20)
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomdoc.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), distance=4, shingle=4)
+
+
 def op8_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.bitplane import read_ids, write_ids
 
@@ -40,7 +52,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op8_bitplane_ids, op9_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_token_counts, op3_substring_dedup, op7_simhash, op8_bitplane_ids, op9_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
