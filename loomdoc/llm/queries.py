@@ -15,6 +15,12 @@ def _path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomdoc.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.token_counts import token_counts
 
@@ -27,6 +33,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(table(spark, sf_dir, "documents"), window=20)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomdoc.llm.quality import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.simhash import near_duplicates
 
@@ -52,7 +64,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_substring_dedup, op7_simhash, op8_bitplane_ids, op9_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_secrets, op2_token_counts, op3_substring_dedup, op5_quality, op7_simhash, op8_bitplane_ids, op9_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
