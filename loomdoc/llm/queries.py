@@ -33,12 +33,24 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(table(spark, sf_dir, "documents"), window=20)
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomdoc.llm.topk_nra import search
+
+    return search(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.quality import quality_scores
 
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op6_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomdoc.llm.multi_index import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.simhash import near_duplicates
 
@@ -64,7 +76,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_token_counts, op3_substring_dedup, op5_quality, op7_simhash, op8_bitplane_ids, op9_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_secrets, op2_token_counts, op3_substring_dedup, op4_topk, op5_quality, op6_embedding_neardup, op7_simhash, op8_bitplane_ids, op9_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
