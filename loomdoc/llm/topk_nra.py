@@ -77,9 +77,10 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024,
     rows = cut(good.select("id", F.transform("x", lambda c: F.floor(c * scale).cast("long")).alias("x")))
     asked = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("x").alias("x"))
     nb, nq = blocks_for(rows.count(), ROWS), blocks_for(asked.count(), QUERIES)
+    # block numbers are ints on both sides: a long and an int of one value hash apart, and their groups would never meet
     fan = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select(F.pmod(F.xxhash64("id"), F.lit(nb)).alias("b"), "id", "x").withColumn("q", fan(nq)).withColumn("d", F.size("x"))
-    right = asked.select(F.pmod(F.xxhash64("id"), F.lit(nq)).alias("q"), "id", "x").withColumn("b", fan(nb)).withColumn("d", F.size("x"))
+    left = rows.select(F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int").alias("b"), "id", "x").withColumn("q", fan(nq)).withColumn("d", F.size("x"))
+    right = asked.select(F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int").alias("q"), "id", "x").withColumn("b", fan(nb)).withColumn("d", F.size("x"))
 
     def pair(a: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
