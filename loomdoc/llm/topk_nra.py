@@ -1,10 +1,10 @@
 """Exact top-k inner products by no-random-access aggregation over sorted lists (Fagin, Lotem, Naor, 2001).
 
 Every block of rows keeps one list for each dimension, sorted by component. A query reads its lists from the end where
-query times component is largest, a step of entries at a time, and keeps for every row seen the sum of what was read
-(with the lists' worst remaining values: a lower bound) and that sum with the lists' current values (an upper bound). It
-stops when the k-th lower bound exceeds what any row outside the k could reach; ties keep it reading. What is left
-unread of the rows that still qualify then gives their final scores.
+query times component is largest, a step of entries at a time, and keeps for every row the sum of what was read, with
+the lists' worst values for the rest (a lower bound) or their current values (an upper bound). Rows whose upper bound is
+below the k-th lower bound are out, ties are not. Once few are left, or the lists are nearly read, these get their
+final scores.
 """
 
 from __future__ import annotations
@@ -16,51 +16,53 @@ from pyspark.sql import functions as F
 
 from loomdoc.llm.common import blocks_for, cut
 
-ROWS, QUERIES, STEPS = 4096, 1024, 8
+#: Rows and queries of a block.
+ROWS, QUERIES = 4096, 1024
+#: Shares of the lists' lengths after which bounds are looked at; rows that may be left for the final scores.
+DEPTHS, LEFT = (1 / 16, 3 / 4, 15 / 16), 1 / 4
 
 
-def nra(block: np.ndarray, order: np.ndarray, ids: np.ndarray, query: np.ndarray, k: int, own: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and scores of the k best rows (ties to smaller id, own left out); of fewer, all.
+class Lists:
+    """A block of rows: for each dimension its components in descending order, their rows, and each row's place there."""
 
-    order: argsort of each column of block. floor: scores below it are of no use to the caller.
-    """
-    n, d = block.shape
-    down = np.where(query >= 0, -1, 0)
-    low = np.where(query >= 0, block[order[0], np.arange(d)], block[order[-1], np.arange(d)]) * query  # worst of each list
-    read = np.zeros((n, d), bool)
-    part = np.full(n, low.sum(), np.int64)  # lower bounds: unread entries at their worst
-    alive = ids != own
-    dims = np.arange(d)
-    depth = 0
-    while depth < n:
-        stop = min(n, depth + max(16, n // STEPS))
-        span = np.arange(depth, stop)
-        at = np.where(down[None, :] < 0, n - 1 - span[:, None], span[:, None])
-        rows = order[at, dims[None, :]]
-        gain = block[rows, dims[None, :]] * query[None, :] - low[None, :]
-        part += np.bincount(rows.ravel(), weights=gain.ravel(), minlength=n).astype(np.int64)
-        read[rows.ravel(), np.tile(dims, len(span))] = True
-        depth = stop
-        if depth == n:
-            break
-        edge = order[np.where(down < 0, n - depth, depth - 1), dims]
-        slack = block[edge, dims] * query - low  # what an unread entry can add to its list's worst
-        upper = part + (~read) @ slack
-        lower = part[alive]
-        best = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) > k else None
-        bar = max(x for x in (best, floor) if x is not None) if best is not None or floor is not None else None
-        if bar is not None:
-            open_ = alive & (upper >= bar)
-            if open_.sum() <= 4 * k:
+    def __init__(self, block: np.ndarray, ids: np.ndarray):
+        self.block, self.ids = block.astype(np.float64), ids  # integers up to 2^53 stay exact
+        self.rows = np.argsort(-block, axis=0, kind="stable").T.copy()
+        self.values = np.take_along_axis(self.block.T, self.rows, 1)
+        self.place = np.argsort(self.rows, axis=1).astype(np.int32)
+
+    def search(self, query: np.ndarray, k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row numbers and scores of the k best rows (ties to smaller id, own left out); of fewer, all."""
+        n = len(self.ids)
+        alive = self.ids != own
+        up, down = np.flatnonzero(query >= 0), np.flatnonzero(query < 0)
+        worst = np.where(query >= 0, self.values[:, -1], self.values[:, 0]) * query
+        seen = np.zeros(n)  # what the entries read add up to, each beyond its list's worst
+        open_, depth = alive, 0
+        for share in DEPTHS:
+            stop = int(n * share)
+            if stop <= depth or alive.sum() <= k:
+                continue
+            for dims, part in ((up, slice(depth, stop)), (down, slice(n - stop, n - depth))):
+                if len(dims):
+                    gain = self.values[dims, part] * query[dims, None] - worst[dims, None]
+                    seen += np.bincount(self.rows[dims, part].ravel(), weights=gain.ravel(), minlength=n)
+            depth = stop
+            edge = np.where(query >= 0, self.values[:, depth - 1], self.values[:, n - depth]) * query - worst
+            room = np.full(n, edge.sum())  # what the unread entries can add: their lists' current values
+            if len(up):
+                room -= edge[up] @ (self.place[up] < depth)
+            if len(down):
+                room -= edge[down] @ (self.place[down] >= n - depth)
+            lower = seen[alive]
+            bar = np.partition(lower, len(lower) - k)[len(lower) - k]
+            open_ = alive & (seen + room >= bar - 0.5)  # a row below the bar can't reach the k best, nor tie with them
+            if open_.sum() <= max(4 * k, n * LEFT):
                 break
-    else:
-        open_ = alive
-    if depth == n:
-        open_ = alive
-    rows = np.flatnonzero(open_)
-    score = block[rows] @ query
-    best = np.lexsort((ids[rows], -score))[:k]
-    return rows[best], score[best]
+        rows = np.flatnonzero(open_)
+        score = np.rint(self.block[rows] @ query).astype(np.int64)
+        best = np.lexsort((self.ids[rows], -score))[:k]
+        return rows[best], score[best]
 
 
 def search(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -85,11 +87,10 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, scale: int = 1024,
     def pair(a: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
         if len(a) and len(q):
-            block, ids = np.stack(a["x"].to_numpy()).astype(np.int64), a["id"].to_numpy()
-            order = np.argsort(block, axis=0, kind="stable")
+            lists = Lists(np.stack(a["x"].to_numpy()), a["id"].to_numpy())
             for own, v in zip(q["id"], q["x"], strict=True):
-                at, score = nra(block, order, ids, np.asarray(v, np.int64), k, own)
-                out += [(own, i, s) for i, s in zip(ids[at].tolist(), score.tolist(), strict=True)]
+                at, score = lists.search(np.asarray(v, np.float64), k, own)
+                out += [(own, i, s) for i, s in zip(lists.ids[at].tolist(), score.tolist(), strict=True)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
 
     best = left.groupBy("d", "b", "q").cogroup(right.groupBy("d", "b", "q")).applyInPandas(pair, "query_id long, vec_id long, score long")
