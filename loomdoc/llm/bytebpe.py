@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from loomdoc.llm.common import trim
+
 #: A space that does not begin a unit.
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 #: Characters of text in a run, and in a part of a longer text.
@@ -111,6 +113,7 @@ class Units:
                 size += len(texts[end])
                 end += 1
             yield at, *self._some(texts[at:end])
+            trim()
             at = end
 
     def _some(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,5 +102,26 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 6
     return stars.union(e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())
 
 
+def trim() -> None:
+    """Give freed memory back to the system: Arrow's pool and the C library else keep a worker at its largest for good."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def slices(batches: Iterator, rows: int = 1024) -> Iterator:
+    """The same rows in Arrow batches of at most rows, so that a worker's Python objects stay few; memory is trimmed at the end."""
+    try:
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                yield b.slice(at, rows)
+    finally:
+        trim()
+
+
 def blocks_for(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))

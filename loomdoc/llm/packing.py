@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loomdoc.llm.bytebpe import encoder
+from loomdoc.llm.common import slices
 
 #: Tokens in a batch, at least, unless the partition ends.
 BATCH = 1 << 20
@@ -116,7 +117,7 @@ def pack_sequences(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1
             return pa.RecordBatch.from_arrays(cols, schema=schema)
 
         tokens = 0
-        for b in batches:
+        for b in slices(batches):
             ids_of = b.column(0).to_pylist()
             for at, ids, n in code(b.column(1).to_pylist()):
                 held.append(np.insert(ids, np.cumsum(n), end_id).astype("<u4"))

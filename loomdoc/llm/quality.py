@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomdoc.llm.common import cut, shuffle_partitions
+from loomdoc.llm.common import cut, shuffle_partitions, slices
 
 WIDTH, SEED, RIDGE, SCALE = 320, 5, 1e-3, 0.16
 #: Bins of uncalibrated scores, from LOW to HIGH.
@@ -95,7 +95,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_matrix(b.column(1).to_pylist()).tolist(), pa.list_(pa.float64()))], schema=schema)
 
     return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"cast(`{text_col}` as string) as text").mapInArrow(run, "doc_id long, x array<double>")
@@ -190,7 +190,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             keep = m.score(_matrix(b.column(text_col).to_pylist())) >= threshold
             yield b.filter(pa.array(keep))
 

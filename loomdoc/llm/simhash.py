@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomdoc.llm.common import components, cut
+from loomdoc.llm.common import components, cut, slices
 
 SEED = 42
 
@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], schema=schema)
 

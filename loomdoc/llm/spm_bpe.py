@@ -18,6 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from loomdoc.llm.bytebpe import Units, loaded
+from loomdoc.llm.common import slices
 from loomdoc.llm.token_counts import byte_chars
 
 #: Name of the piece for unknown input, which never occurs: it has no character that stands for a byte.
@@ -118,7 +119,7 @@ def bpe_round_trip(docs: DataFrame, path: str, with_ids: bool = False, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = loaded("ranks", path, RankCoder)
-        for b in batches:
+        for b in slices(batches):
             for at, ids, sizes in coder.units(b.column(1).to_pylist()):
                 ends = np.cumsum(sizes)
                 each = [ids[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]

@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from loomdoc.llm.bytebpe import Units, loaded
+from loomdoc.llm.common import slices
 
 MAX_WORDS, MAX_PAIRS = 400_000, 1_000_000
 
@@ -180,7 +181,7 @@ def token_counts(docs: DataFrame, path: str, budget: int = 512, prefixes: bool =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = loaded("prefix", path, PrefixCounts)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             n = np.fromiter(counter.totals(texts), np.int64, len(texts))
             cols = [b.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(n), pa.array(n > budget)]
