@@ -50,6 +50,19 @@ class IntakeLimits:
     allowed_suffixes: frozenset[str] | None = None
 
 
+def load_settings(path: str) -> dict:
+    """A YAML file whose root is a mapping; an empty one gives none."""
+    import yaml
+
+    with open(path, encoding="utf-8") as f:
+        data = yaml.safe_load(f)
+    if data is None:
+        return {}
+    if not isinstance(data, dict):
+        raise ValueError(f"{path}: the root must be a mapping")
+    return data
+
+
 #: Thresholds of the quality rules.
 EMPTY_PAGE_CHARS = 40
 MIN_NATIVE_CHARS = 40

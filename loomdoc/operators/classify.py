@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +77,24 @@ def structure_scores(spec: Column, csi: Column, headings: Column, lines: Column,
     }
 
 
+class Classifier(Protocol):
+    """What can stand in for the rules: a table in, the same table with category, confidence, scores, evidence, classifier_id out."""
+
+    def __call__(self, docs: DataFrame, name_col: str = "source_filename", text_col: str = "text") -> DataFrame: ...
+
+
+def untrained(docs: DataFrame, name_col: str = "source_filename", text_col: str = "text") -> DataFrame:
+    """A place for a model: everything is unknown, at confidence 0."""
+    return docs.selectExpr("*", "'unknown' as category", "0.0D as confidence", "cast(map() as map<string, double>) as scores", "cast(array() as array<struct<rule_id: string, category: string, weight: double, detail: string>>) as evidence", "'ml_stub' as classifier_id")
+
+
+def classify_pages(pages: DataFrame, files: DataFrame, classifier: Classifier | None = None) -> DataFrame:
+    """Classes of whole documents: pages joined by blank lines, with the name from files."""
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "text"))), lambda p: p["text"]), "\n\n")
+    docs = pages.groupBy("document_id").agg(whole.alias("text")).join(files.select("document_id", "source_filename"), "document_id")
+    return (classifier or classify)(docs)
+
+
 def classify(docs: DataFrame, name_col: str = "source_filename", text_col: str = "text") -> DataFrame:
     """docs with category, confidence, scores (a map) and evidence (the 25 heaviest, stable among equals)."""
     name, text = F.coalesce(F.col(name_col), F.lit("")), F.coalesce(F.col(text_col), F.lit(""))
@@ -96,13 +115,18 @@ def classify(docs: DataFrame, name_col: str = "source_filename", text_col: str =
     category = F.when(blank | (best <= 0), "unknown").when(mixed, "mixed_package").when(best < 1, "unknown").otherwise(F.col("_r")[0]["category"])
     confidence = F.when(blank, 0.1).when(best <= 0, 0.15).when(mixed, F.least(F.lit(0.95), best / (best + second + 1e-6))).when(best < 1, F.least(F.lit(0.5), sure)).otherwise(F.least(F.lit(0.99), sure))
     scores = F.map_from_arrays(F.array(*map(F.lit, (*total, "unknown"))), F.array(*(F.round(t[c], 4) for c in total), F.lit(0.0)))
-    item = lambda rule, c, w: F.when(w > 0, F.struct(F.lit(rule).alias("rule_id"), F.lit(c).alias("category"), w.alias("weight")))
+    item = lambda rule, c, w, detail: F.when(w > 0, F.struct(F.lit(rule).alias("rule_id"), F.lit(c).alias("category"), w.alias("weight"), detail.alias("detail")))
     low_name, low = F.lower(base_name(name)), F.lower(text)
-    found = [item(f"filename:{p}", c, F.when(low_name.contains(p), w).otherwise(0.0)) for c, hints in FILENAME_HINTS.items() for p, w in hints.items()]
-    found += [item(f"keyword:{c}:{p[:24]}", c, keyword_weight(occurrences(low, p))) for c, phrases in KEYWORDS.items() for p in phrases]
-    found += [item("structure:spec_headings", "specification", by_form["specification"]), item("structure:short_transmittal", "transmittal", by_form["transmittal"])]
+    found = [item(f"filename:{p}", c, F.when(low_name.contains(p), w).otherwise(0.0), F.lit(f'Filename contains "{p}" → +{w} toward {c}')) for c, hints in FILENAME_HINTS.items() for p, w in hints.items()]
+    for c, phrases in KEYWORDS.items():
+        for p in phrases:
+            n = occurrences(low, p)
+            found.append(item(f"keyword:{c}:{p[:24]}", c, keyword_weight(n), F.format_string(f'Phrase "{p}" appears ~%d time(s) → +%.2f toward {c}', n, keyword_weight(n))))
+    found.append(item("structure:spec_headings", "specification", by_form["specification"], F.format_string("Found %d SECTION/PART/DIVISION-style headings, %d CSI-style prefixes, %d heading-like lines → +%.2f", s["spec_hits"], s["csi_hits"], s["headings"], by_form["specification"])))
+    found.append(item("structure:short_transmittal", "transmittal", by_form["transmittal"], F.lit("Early 'transmittal' mention in a relatively short document → +2.0")))
+    found.append(item("meta:mixed_signals", "mixed_package", F.when(mixed, best).otherwise(0.0), F.format_string("Top scores close (%s=%.2f, %s=%.2f) → mixed_package", F.col("_r")[0]["category"], best, F.col("_r")[1]["category"], second)))
     evidence = F.array_compact(F.array(*found))
     order = F.transform(evidence, lambda e, i: F.struct((-F.abs(e["weight"])).alias("minus"), i.alias("place"), e.alias("e")))
     top = F.transform(F.slice(F.array_sort(order), 1, 25), lambda x: x["e"])
     empty = F.slice(top, 1, 0)
-    return scored.withColumns({"category": category, "confidence": F.round(confidence, 4), "scores": scores, "evidence": F.when(blank, empty).otherwise(top), "classifier_id": F.lit("heuristic_v1")}).drop("_s", "_t", "_r")
+    return scored.withColumns({"category": category, "confidence": F.round(confidence, 4), "scores": F.when(blank, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))).otherwise(scores), "evidence": F.when(blank, empty).otherwise(top), "classifier_id": F.lit("heuristic_v1")}).drop("_s", "_t", "_r")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomdoc.config import PORTAL_BYTES
-from loomdoc.functions.text import excel_cell, safe_stem, section_number, source_spec, strip, strip_control, strip_nul
+from loomdoc.functions.text import excel_cell, preview, safe_stem, section_number, source_spec, strip, strip_control, strip_nul
 
 # Column orders that readers rely on.
 INGESTION = ("document_id", "source_filename", "original_file_type", "chunk_id", "page_start", "page_end", "section_title", "document_type", "extraction_method", "extraction_confidence", "extraction_mode", "ocr_used", "ocr_confidence", "percent_empty_pages", "section_detection_confidence", "chunk_quality_score", "low_quality_chunk", "document_needs_review", "chunk_text", "processing_timestamp")
@@ -147,6 +147,15 @@ def portal_files(chunks: DataFrame, most: int = PORTAL_BYTES, order: tuple[str,
     return numbered.select("file_index", "chunk_id", "part", "parts", name.alias("name"), "body")
 
 
+def preview_text(df: DataFrame, limit: int = 3, chars: int = 120) -> str:
+    """A few rows of an ingestion table for people, texts cut."""
+    rows = df.select("document_id", "source_filename", "chunk_id", "page_start", "page_end", "document_type", preview(F.col("chunk_text"), chars).alias("t")).limit(limit).collect()
+    lines = ["document_id | source_filename | chunk_id | pages | document_type | chunk_text…", "-" * 72]
+    lines += [f"{r.document_id[:12]}… | {r.source_filename[:24]} | {r.chunk_id[-16:]} | {r.page_start}-{r.page_end} | {r.document_type} | {r.t}" for r in rows]
+    more = df.count() - len(rows)
+    return "\n".join([*lines, f"… and {more} more row(s)."] if more > 0 else lines)
+
+
 def write_json(path: str, value) -> None:
     with open(path, "w", encoding="utf-8") as f:
         json.dump(value, f, ensure_ascii=False, indent=2, default=str)

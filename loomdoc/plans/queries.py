@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomdoc.config import ChunkingConfig
 from loomdoc.functions import text as T
-from loomdoc.operators import chunking, classify, export, headings, ocr, quality, sections
+from loomdoc.operators import checks, chunking, classify, export, headings, ocr, quality, sections
 
 DEFAULT = ChunkingConfig()
 SMALL = ChunkingConfig(20, 120, 60, 80, 5, 15)
@@ -461,6 +461,13 @@ def classification_evidence(spark, sf_dir):
     return classify.classify(_class_docs(spark, sf_dir)).select("doc_id", "evidence", "scores")
 
 
+@_query(f"""WITH RECURSIVE {_chunk_sql(SMALL)} SELECT 'page_span' AS rule, CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'digest', 0 UNION ALL SELECT 'score', 0 UNION ALL SELECT 'title', 0
+  UNION ALL SELECT 'index', count(*) FILTER (chunk_index NOT BETWEEN 1 AND total_chunks) FROM chunks UNION ALL SELECT 'short_text', count(*) FILTER (length(chunk_text) < 40) FROM chunks""")
+def constraint_checks(spark, sf_dir):
+    rules = checks.CHUNK_RULES | {"short_text": "length(chunk_text) >= 40"}
+    return checks.violations(_chunked(spark, sf_dir, SMALL).drop("confidence"), rules)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from loomdoc.plans import file_queries
 

@@ -55,3 +55,50 @@ def test_classes(spark):
     got = [r.asDict() for r in classify(df).collect()]
     assert [r["category"] for r in got][:1] == ["submittal"] and got[1]["category"] in ("specification", "mixed_package") and got[2]["category"] == got[3]["category"] == "unknown"
     assert got[0]["evidence"][0]["rule_id"].startswith("filename:") and got[2]["evidence"] == [] and got[2]["confidence"] == 0.1
+
+
+def test_evidence_and_stand_ins(spark):
+    from loomdoc.operators.classify import classify_pages, untrained
+
+    pages = spark.createDataFrame([("d", 2, "subject: submittal and product data, shop drawing"), ("d", 1, "Dear all, pursuant to your letter, regards, sincerely")], "document_id string, page_number int, text string")
+    files = spark.createDataFrame([("d", "x.txt")], "document_id string, source_filename string")
+    r = classify_pages(pages, files).first()
+    assert r.text.startswith("Dear all") and r.category == "mixed_package" and r.scores["unknown"] == 0.0
+    assert any(e.rule_id == "meta:mixed_signals" for e in r.evidence)
+    assert 'Phrase "dear" appears ~1 time(s) → +1.39 toward correspondence' in [e.detail for e in r.evidence]
+    assert [abs(e.weight) for e in r.evidence] == sorted((abs(e.weight) for e in r.evidence), reverse=True)
+    u = classify_pages(pages, files, untrained).first()
+    assert (u.category, u.confidence, u.evidence, u.scores, u.classifier_id) == ("unknown", 0.0, [], {}, "ml_stub")
+
+
+def test_checks(spark):
+    import pytest
+
+    from loomdoc.operators import checks
+
+    df = spark.createDataFrame([(1, 2), (3, 2), (None, 1)], "page_start int, page_end int")
+    rule = {"page_span": checks.CHUNK_RULES["page_span"]}
+    assert [tuple(r) for r in checks.violations(df, rule).collect()] == [("page_span", 1)]
+    assert checks.enforced(df.filter("page_start = 1"), rule).count() == 1
+    with pytest.raises(Exception, match="rule broken: page_span"):
+        checks.enforced(df, rule).collect()
+
+
+def test_settings(tmp_path):
+    import pytest
+
+    from loomdoc.config import load_settings
+
+    pytest.importorskip("yaml")
+    (tmp_path / "a.yaml").write_text("x: 1")
+    (tmp_path / "b.yaml").write_text("- 1")
+    assert load_settings(str(tmp_path / "a.yaml")) == {"x": 1}
+    with pytest.raises(ValueError):
+        load_settings(str(tmp_path / "b.yaml"))
+
+
+def test_preview(spark):
+    from loomdoc.operators.export import preview_text
+
+    df = spark.createDataFrame([("d" * 64, "a.txt", "d-chunk-0001", 1, 1, "unknown", "x  y " * 90)] * 4, "document_id string, source_filename string, chunk_id string, page_start int, page_end int, document_type string, chunk_text string")
+    assert preview_text(df).endswith("… and 1 more row(s).") and len(preview_text(df).splitlines()) == 6
