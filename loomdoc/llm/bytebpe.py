@@ -22,7 +22,7 @@ from loomdoc.llm.common import trim
 #: A space that does not begin a unit.
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 #: Characters of text in a run, and in a part of a longer text.
-RUN_CHARS = 3_000_000
+RUN_CHARS = 8_000_000
 #: Units that a worker remembers at most, about 30 bytes each.
 MAX_UNITS = 800_000
 
@@ -57,6 +57,7 @@ class Units:
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: tuple[str, ...] = ()):
         self.encode = encode
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.runs = 0
         self.forget()
 
     def forget(self) -> None:
@@ -113,7 +114,9 @@ class Units:
                 size += len(texts[end])
                 end += 1
             yield at, *self._some(texts[at:end])
-            trim()
+            self.runs += 1
+            if self.runs % 4 == 0:
+                trim()
             at = end
 
     def _some(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

@@ -113,7 +113,7 @@ def trim() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batches: Iterator, rows: int = 1024) -> Iterator:
+def slices(batches: Iterator, rows: int = 2048) -> Iterator:
     """The same rows in Arrow batches of at most rows, so that a worker's Python objects stay few; memory is trimmed at the end."""
     try:
         for b in batches:
