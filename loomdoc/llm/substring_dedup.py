@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomdoc.llm.bytebpe import spread
-from loomdoc.llm.common import cut, shuffle_partitions
+from loomdoc.llm.common import blocks_for, cut, shuffle_partitions, trim
 
 BLOCK = 10
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 4_000_000
+#: Chunks' worth of hashes that a range of them holds: some 3 million, 24 MB.
+CHUNKS_A_RANGE = 4
 #: Bits of a probe's hash; what agrees in them by chance only becomes a candidate.
 PROBE_BITS = 48
 _CACHE = 300_000
@@ -176,7 +178,7 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
         raise ValueError("a window must contain a whole block wherever it starts")
     stored = chunks(docs, text_col)
     n_chunks = stored.count()
-    buckets = max(shuffle_partitions(docs.sparkSession), n_chunks)
+    buckets = max(shuffle_partitions(docs.sparkSession), blocks_for(n_chunks, CHUNKS_A_RANGE))
 
     def send_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -186,6 +188,7 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
                 many = np.bincount(inverse, minlength=len(u)) > 1
                 blocks = np.bincount(inverse, weights=block, minlength=len(u)) > 0
                 rows = [(k, chunk, _pack(u[x:y]), _bits(many[x:y]), _bits(blocks[x:y])) for k, x, y in _ranges(u, buckets, PROBE_BITS)]
+                trim()
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "chunk", "hashes", "many", "blocks"])
 
@@ -213,6 +216,7 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
                 u, first = _firsts(c, *_candidates(c, window, _hits(c, window, given(hits), buckets)), id_col)[:2]
                 for k, x, y in _ranges(u, buckets, 64):
                     rows.append((k, chunk, _pack(u[x:y]), zstandard.ZstdCompressor(level=1).compress(first[x:y].astype("<i8").tobytes())))
+        trim()
         if not rows:
             return empty_window
         return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), empty_window.schema, strict=True)], schema=empty_window.schema)
@@ -255,6 +259,7 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
                 step = np.bincount(starts[again], minlength=len(gone) + 1) - np.bincount(starts[again] + window, minlength=len(gone) + 1)
                 gone = np.cumsum(step)[: len(gone)] > 0
             out.append(finish(c, gone))
+        trim()
         return pa.concat_tables(out)
 
     return meet(answers).applyInArrow(last, ddl)
