@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomdoc.llm.bytebpe import encoder
-from loomdoc.llm.common import cut
+from loomdoc.llm.common import cut, slices
 
 MAGIC = b"BPLN\x01\x00\x00\x00"
 #: Ids in a block; a multiple of 8.
@@ -88,7 +88,8 @@ class File:
         return from_planes([unpack(self.data[self.offsets[i] : self.offsets[i + 1]]) for i in range(self.first[k], self.first[k + 1])], n)
 
     def read(self, start: int, stop: int) -> np.ndarray:
-        """ids start to stop; touches their blocks only."""
+        """ids start to stop, as far as there are any; touches their blocks only."""
+        stop = min(stop, self.n_ids)
         if start >= stop:
             return np.zeros(0, "<u4")
         blocks = range(start // self.block, (stop - 1) // self.block + 1)
@@ -99,7 +100,7 @@ class File:
 def write_ids(docs: DataFrame, path: str, end_id: int = 2, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Files of the ids of every text, each with end_id after it, in ascending document order.
 
-    Rows: part and seq (their order is the documents'), n_ids, and the file's bytes, written to the shared folder by
+    Rows: part and seq (their order is the documents'), the ids of the part before the file, n_ids, and the file's bytes, written to the shared folder by
     Spark, whose commit leaves no half-written file when an executor is lost. Texts are dealt out by ranges of the
     id, which balances by rows read and puts no group into one task; null texts are empty, null ids come first, and
     rows of one id are in the order of their texts.
@@ -108,23 +109,24 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, parts: int | None = N
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"coalesce(cast(`{text_col}` as string), '') as text")
     dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    schema = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("n_ids", pa.int64()), ("file", pa.binary())])
+    schema = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("file", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seq, held, docs_held = TaskContext.get().partitionId(), 0, 0, 0
+        part, seq, before, held = TaskContext.get().partitionId(), 0, 0, 0
         keep: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         code = encoder(path)
 
         def file() -> pa.RecordBatch:
-            nonlocal seq, held, docs_held, keep
+            nonlocal seq, before, held, keep
             cols = [np.concatenate(x) for x in zip(*keep, strict=True)]
-            out = pa.RecordBatch.from_arrays([pa.array([part]), pa.array([seq]), pa.array([len(cols[3])]), pa.array([write_file(*cols)], pa.binary())], schema=schema)
-            seq, held, docs_held, keep = seq + 1, 0, 0, []
+            numbers = [pa.array([x], pa.int64()) for x in (part, seq, before, len(cols[3]))]
+            out = pa.RecordBatch.from_arrays([*numbers, pa.array([write_file(*cols)], pa.binary())], schema=schema)
+            seq, before, held, keep = seq + 1, before + len(cols[3]), 0, []
             return out
 
-        for b in batches:
+        for b in slices(batches):
             keys = b.column(0)
             valid = np.asarray(keys.is_valid().to_numpy(zero_copy_only=False), np.uint8)
             keys = keys.fill_null(0).to_numpy()
@@ -138,26 +140,21 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, parts: int | None = N
         if keep:
             yield file()
 
-    return cut(dealt.mapInArrow(run, "part long, seq long, n_ids long, file binary"))
+    return cut(dealt.mapInArrow(run, "part long, seq long, before long, n_ids long, file binary"))
 
 
 def read_ids(files: DataFrame, with_ids: bool = False) -> DataFrame:
     """What the files hold, a row for each document: doc_id, start, n_tokens, ids_crc32, on demand the packed ids.
 
-    start counts the ids of all documents before it. The sums over the files, a row for each part, are joined in.
+    start counts the ids of all documents before it: those of earlier parts (a sum for each of the parts that write_ids
+    was given, 16 bytes, goes to the driver and back), of earlier files of the part, and of the file itself.
     """
     by_part = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     spark = files.sparkSession
-    totals = sorted((r.part, r.n) for r in by_part.collect())  # one row for each of the parts that write_ids was given
-    base, at = [], 0
-    for part, n in totals:
-        base.append((part, at))
+    bases, at = {}, 0
+    for part, n in sorted((r.part, r.n) for r in by_part.collect()):
+        bases[part] = at
         at += n
-    bases = dict(base)
-    seqs = files.select("part", "seq", "n_ids")
-    from pyspark.sql import Window
-
-    starts = seqs.select("part", "seq", F.coalesce(F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("local"))
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
     ddl = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if with_ids:
@@ -168,13 +165,12 @@ def read_ids(files: DataFrame, with_ids: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, local, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+            for part, before, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 f = File(data.as_py())
                 ends = np.cumsum(f.sizes)
                 packed = f.read(0, f.n_ids).tobytes()
                 each = [packed[4 * (e - n) : 4 * e] for e, n in zip(ends.tolist(), f.sizes.tolist(), strict=True)]
-                cols = [pa.array(f.doc_ids, mask=~f.valid), pa.array(ends - f.sizes + shared.value[part] + local), pa.array(f.sizes), pa.array([zlib.crc32(x) for x in each], pa.int64())]
+                cols = [pa.array(f.doc_ids, mask=~f.valid), pa.array(ends - f.sizes + shared.value[part] + before), pa.array(f.sizes), pa.array([zlib.crc32(x) for x in each], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols + ([pa.array(each, pa.binary())] if with_ids else []), schema=schema)
 
-    joined = files.select("part", "seq", "file").join(starts, ["part", "seq"]).select("part", "local", "file")
-    return joined.mapInArrow(run, ddl)
+    return files.select("part", "before", "file").mapInArrow(run, ddl)
