@@ -23,6 +23,8 @@ from loomdoc.llm.common import trim
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 #: Characters of text in a run, and in a part of a longer text.
 RUN_CHARS = 8_000_000
+#: Characters that the library gets in a call, unless one text has more.
+CALL_CHARS = 300_000
 #: Units that a worker remembers at most, about 30 bytes each.
 MAX_UNITS = 800_000
 
@@ -44,7 +46,11 @@ def split_long(text: str, run: int) -> Iterator[str]:
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions starts[i], ..., starts[i] + lengths[i] - 1 for every i in turn."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total < 1 << 30 and (not len(starts) or starts.max() < 1 << 30) else np.int64
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 class Units:
@@ -158,6 +164,18 @@ def json_units(path: str) -> Units:
         return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts by calls of moderate size, as the library keeps some 200 bytes for each id until a call ends."""
+        parts, at = [], 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and size < CALL_CHARS:
+                size += len(texts[end])
+                end += 1
+            parts.append(call(texts[at:end]))
+            at = end
+        return tuple(np.concatenate([none, *x]) for none, x in zip((np.zeros(0, "<u4"), np.zeros(0, np.int64)), zip(*parts, strict=True) if parts else ((), ()), strict=True))
+
+    def call(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All in one call, with a special string between them, which the library takes out first."""
         if fence is None or any(fence in t for t in texts):
             each = [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
