@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdoc.llm.common import cut, shared_dir, table
+from loomdoc.llm.common import cut, remove, shared_dir, table
 from loomdoc.llm.packing import pack_sequences
 from loomdoc.llm.quality import keep_good
 from loomdoc.llm.secrets import redact
@@ -65,10 +65,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage's table is written to the shared folder and read again."""
+    """The last stage's rows; each stage's table is written to the shared folder, read by the next and then removed.
+
+    The one before the last stays, as the rows returned are computed from it when they are read.
+    """
     at = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
         docs = spark.read.parquet(f"{at}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{at}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

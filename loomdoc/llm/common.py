@@ -64,6 +64,12 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(FILE_CLEANUP, before)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
