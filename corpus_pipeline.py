@@ -1,8 +1,9 @@
 """From raw documents to packed training sequences, in five stages.
 
-Each stage takes all that the one before kept: the quality classifier drops what it rejects, SimHash keeps one document
-of each group of near-duplicates, passages that occur earlier lose their later copies, secrets are replaced by a mark,
-and what is left is packed into sequences of 2048 tokens. Stages meet as Parquet tables; run() leaves them to Spark.
+Each stage takes all that the one before kept: the quality classifier drops what it rejects, one document stays of each
+group linked by a similarity of five-word shingles of 0.8 or more, passages that occur earlier lose their later copies,
+secrets are replaced by a mark, and what is left is packed into sequences of 2048 tokens. Stages meet as Parquet tables;
+run() leaves them to Spark.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from loomdoc.llm.common import cut, remove, shared_dir, table
 from loomdoc.llm.packing import pack_sequences
 from loomdoc.llm.quality import keep_good
 from loomdoc.llm.secrets import redact
-from loomdoc.llm.simhash import near_duplicates
+from loomdoc.llm.shingle_dedup import near_duplicates
 from loomdoc.llm.substring_dedup import remove_repeats
 
 
@@ -26,11 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id; rows without an id stay.
+    """Of each group of texts linked by a Jaccard similarity of 0.8 or more the document with the smallest id; rows without an id stay.
 
     Of rows that repeat an id one stays. The others' ids are removed by an anti-join, so no group is gathered.
     """
-    found = near_duplicates(docs.filter("doc_id is not null"), distance=4, shingle=4)
+    found = near_duplicates(docs.filter("doc_id is not null"), similarity=0.8, shingle=5)
     found = cut(found.select("doc_id", "component_id"))
     again = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     gone = found.filter("doc_id <> component_id").select("doc_id").union(again).distinct()

@@ -1,0 +1,114 @@
+"""Near-duplicates by the Jaccard similarity of their sets of word shingles.
+
+MinHash finds candidates: 32 bands of 5 minima, so that a pair at similarity 0.8 shares a band with a chance of
+1 - (1 - 0.8^5)^32, all but 3 in a million, and above 0.8 more. Candidates' whole sets are then compared, so no pair
+below the similarity links. Only distinct texts take part. Within a band each text is first compared with one of the
+band; then every candidate pair that these links have not joined already is compared, so in a dense group only
+texts that reach none of these few cost a pair for each other text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loomdoc.llm.common import components, cut, slices
+
+SEED = 42
+BANDS, WIDTH = 32, 5
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * WIDTH, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def words(text: str) -> list[bytes]:
+    return text.encode().lower().split()  # bytes: ASCII letters and ASCII white space only
+
+
+def node(w: list[bytes]) -> int:
+    """The number of a text's words as a signed long."""
+    return xxhash.xxh64_intdigest(b" ".join(w), SEED) - (1 << 63)
+
+
+def shingles(w: list[bytes], size: int) -> np.ndarray:
+    """Hashes of the distinct runs of size words; of all words where they are fewer, none without words."""
+    digest, last = xxhash.xxh64_intdigest, max(len(w) - size, 0)
+    return np.unique(np.array([digest(b" ".join(w[i : i + size]), SEED) for i in range(last + 1)] if w else [], "<u8"))
+
+
+def bands(s: np.ndarray) -> list[int]:
+    """A key for each band of minima of a set of hashes, none for an empty set."""
+    if not len(s):
+        return []
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(s), 512):
+        least = np.minimum(least, (s[at : at + 512, None] * FACTORS).min(0))
+    return [xxhash.xxh64_intdigest(m.tobytes(), band) - (1 << 63) for band, m in enumerate(least.reshape(BANDS, WIDTH))]
+
+
+def _keyed(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, node and the keys of its bands for every row. No shuffle."""
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("keys", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            w = [words(t.as_py()) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(node, w), pa.int64()), pa.array([bands(shingles(x, shingle)) for x in w], pa.list_(pa.int64()))], schema=schema)
+
+    return docs.mapInArrow(run, "doc_id long, node long, keys array<long>")
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """node and its set of hashes, for the nodes given."""
+    numbered = pa.schema([("node", pa.int64()), ("text", pa.string())])
+    hashed = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64()))])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([node(words(t.as_py())) for t in b.column(1)], pa.int64()), b.column(1).cast(pa.string())], schema=numbered)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 256):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(words(t.as_py()), shingle).view("<i8") for t in b.column(1)], pa.list_(pa.int64()))], schema=hashed)
+
+    texts = docs.mapInArrow(number, "node long, text string").join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return texts.mapInArrow(run, "node long, s array<long>")
+
+
+def _links(docs: DataFrame, pairs: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Of pairs u, v those whose whole sets are as similar."""
+    sets = cut(_sets(docs, pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), shingle))
+    both = pairs.join(sets.selectExpr("node as u", "s as a"), "u").join(sets.selectExpr("node as v", "s as b"), "v")
+    shared = both.selectExpr("u", "v", "size(a) + size(b) as total", "size(array_intersect(a, b)) as shared")
+    return cut(shared.filter(F.expr("shared / (total - shared)") >= F.lit(float(similarity))).select("u", "v"))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and component_id of every row.
+
+    component_id is the smallest doc_id among the rows reachable over pairs with that similarity or more. Rows of one id
+    are rows of their own with one id; a row with a null id has a component like any other, null where no row in it has
+    an id. Null texts have no words, and texts without words are copies of each other. Other columns are left out.
+    """
+    docs = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"coalesce(cast(`{text_col}` as string), '') as text")
+    rows = cut(_keyed(docs, shingle))
+    groups = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least")))
+    keys = rows.select("node", F.explode("keys").alias("key")).distinct()
+    shared = cut(keys.join(keys.groupBy("key").count().filter("count > 1").select("key"), "key", "left_semi").select("key", "node"))
+    # one text of each band, another in each, against the rest of it
+    hubs = shared.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("hub"))
+    pair = [F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")]
+    spokes = cut(shared.join(hubs, "key").selectExpr("node as u", "hub as v").filter("u <> v").select(*pair).distinct())
+    first = cut(components(_links(docs, spokes, similarity, shingle)))
+    placed = shared.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
+    mixed = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
+    left = cut(placed.join(mixed, "key", "left_semi"))
+    across = left.selectExpr("key", "node as u", "c as cu").join(left.selectExpr("key", "node as v", "c as cv"), "key").filter("u < v and cu <> cv")
+    rest = cut(across.select("u", "v").distinct().join(spokes, ["u", "v"], "left_anti"))
+    comp = cut(components(_links(docs, rest, similarity, shingle).union(first.selectExpr("node as u", "component as v"))))
+    named = groups.join(comp, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
+    linked = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return rows.select("doc_id", "node").join(named.join(linked, "component").select("node", "component_id"), "node").select("doc_id", "component_id")
