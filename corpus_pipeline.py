@@ -43,8 +43,8 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the words of windows of 20 that start earlier; n_chars follows; texts of which nothing is left go."""
-    kept = remove_repeats(docs, window=20)
-    return kept.filter("text is null or text <> '' or n_chars = 0").withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
+    kept = remove_repeats(docs.withColumn("had_text", F.expr("coalesce(text, '') <> ''")), window=20)
+    return kept.filter("text is null or text <> '' or not had_text").withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,11 @@ def test_near_duplicate_stage_keeps_one_of_each_group_at_0_8(spark):
     assert sorted(r.doc_id for r in out.collect()) == [i for i in range(len(texts)) if comp[i] == i]
     got = {r.doc_id: r.component_id for r in shingle_dedup.near_duplicates(docs(spark, texts).withColumn("node", F.lit(1))).collect()}
     assert got == comp
+
+
+def test_substring_stage_drops_only_rows_whose_words_are_all_removed(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(0, passage, "en", "s", 1), (1, passage, "en", "s", 0), (2, "", "en", "s", None), (3, "", "en", "s", 7), (4, None, "en", "s", None), (5, " ", "en", "s", 1), (6, passage + " tail", "en", "s", None)]
+    out = corpus_pipeline.substrings(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "")
+    assert out.schema == spark.createDataFrame([], SCHEMA).schema
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out.collect()) == [(0, passage, len(passage)), (2, "", 0), (3, "", 0), (4, None, None), (5, " ", 1), (6, "tail", 4)]
