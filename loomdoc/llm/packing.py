@@ -9,7 +9,6 @@ rows are: nothing is shuffled, and a batch bounds a worker's memory.
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from collections.abc import Iterator
 
@@ -35,48 +34,28 @@ def pack(lengths: list[int], size: int, linear: float = 1.0, quadratic: float =
 
     Every sequence ends up full: its length is size or a power of two.
     """
-    room = capacities(sum(lengths), size)
-    cost = [0.0] * len(room)
+    room = np.array(capacities(sum(lengths), size), np.int64)  # what is left of each
+    cost = np.zeros(len(room))
     used = [0] * len(room)
     pieces = []
-    by_cost = [(0.0, s) for s in range(len(room))]  # by cost; stale entries are skipped
-    heapq.heapify(by_cost)
-    by_room = [(-c, s) for s, c in enumerate(room)]
-    heapq.heapify(by_room)
 
     def put(doc: int, start: int, n: int, s: int) -> None:
         pieces.append((doc, start, n, s, used[s]))
         used[s] += n
+        room[s] -= n
         cost[s] += linear * n + quadratic * n * n
-        if used[s] < room[s]:
-            heapq.heappush(by_cost, (cost[s], s))
-            heapq.heappush(by_room, (used[s] - room[s], s))
 
     for doc in sorted(range(len(lengths)), key=lambda d: (-lengths[d], d)):
         start, left = 0, lengths[doc]
         while left:
-            while by_room and (used[by_room[0][1]] == room[by_room[0][1]] or -by_room[0][0] != room[by_room[0][1]] - used[by_room[0][1]]):
-                heapq.heappop(by_room)
-            most, s = -by_room[0][0], by_room[0][1]
-            if most < left:  # no sequence has room for it whole
-                put(doc, start, most, s)
-                start, left = start + most, left - most
-                continue
-            tried = []
-            while True:
-                c, s = heapq.heappop(by_cost)
-                if c != cost[s] or used[s] == room[s]:
-                    continue
-                if room[s] - used[s] >= left:
-                    break
-                tried.append((c, s))
-                if len(tried) > 64:  # nearly all are too full: take the roomiest
-                    s = by_room[0][1]
-                    break
-            for x in tried:
-                heapq.heappush(by_cost, x)
-            put(doc, start, left, s)
-            left = 0
+            s = int(np.where(room >= left, cost, np.inf).argmin())  # the first of the cheapest
+            if room[s] >= left:
+                put(doc, start, left, s)
+                break
+            s = int(room.argmax())  # no sequence has room for it whole
+            most = int(room[s])
+            put(doc, start, most, s)
+            start, left = start + most, left - most
     return pieces
 
 
