@@ -322,6 +322,13 @@ def paragraph_pack(spark, sf_dir):
     return able.select("doc_id", F.posexplode(chunking.split_oversized(F.array_join("p", "\n\n"), SMALL)).alias("part", "text"))
 
 
+@_query()
+def split_oversized(spark, sf_dir):
+    """Lines as paragraphs, every document: as it is, packed, or with windows of the words of paragraphs over the limit."""
+    paras = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), T.strip), lambda p: p != "")
+    return _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.split_oversized(F.array_join(paras, "\n\n"), SMALL)).alias("part", "text"))
+
+
 @_query(f"WITH p0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents) SELECT 'doc_' || doc_id AS document_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS section_index, {_strip('para')} AS body_text FROM p0 WHERE {_strip('para')} <> ''")
 def paragraph_fallback(spark, sf_dir):
     pages = _table(spark, sf_dir, "documents").select(F.concat(F.lit("doc_"), F.col("doc_id")).alias("document_id"), F.lit(1).alias("page_number"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
