@@ -18,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a folder of our own only where none is set, as in tests."""
+    """The cluster's checkpoint folder; a temporary one of our own only where none is set and all runs on one machine."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         found = "file://" + tempfile.mkdtemp(prefix="loomdoc-ckpt-")
@@ -78,6 +80,26 @@ def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+#: Keys that attach() sends to every task at most, and rows below which a key is never one of them.
+HEAVIEST, FEW = 1000, 1 << 14
+
+
+def attach(rows: DataFrame, table: DataFrame, on: str, held: str) -> DataFrame:
+    """rows joined with table, which has one row for each value of on and says in held how many of rows have it.
+
+    held is left out. Keys held by more than a thousandth of rows, a thousand at most, go to every task, so that none
+    of them gathers its rows in one; the others meet by a shuffle.
+    """
+    total = table.agg(F.sum(held)).first()[0] or 0
+    least = max(FEW, total // HEAVIEST)
+    heavy = table.filter(F.col(held) > least).drop(held)
+    if total <= least or heavy.isEmpty():
+        return rows.join(table.drop(held), on)
+    light = table.filter(F.col(held) <= least).drop(held)
+    few = rows.join(F.broadcast(heavy.select(on)), on, "left_anti").join(light, on)
+    return rows.join(F.broadcast(heavy), on).unionByName(few)
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v", max_rounds: int = 60) -> DataFrame:
     """Connected components by alternating large-star and small-star steps (Kiveris et al., 2014).
 
@@ -129,5 +151,11 @@ def slices(batches: Iterator, rows: int = 2048) -> Iterator:
         trim()
 
 
+def free_name(names: list[str], stem: str) -> str:
+    """A column name that clashes with none of names, whatever their case."""
+    taken = {n.lower() for n in names}
+    return next(f"{stem}{i}" for i in range(len(taken) + 1) if f"{stem}{i}" not in taken)
+
+
 def blocks_for(rows: int, size: int) -> int:
     return max(1, math.ceil(rows / size))

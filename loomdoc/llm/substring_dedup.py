@@ -3,8 +3,9 @@
 Words are hashed. Every document's non-overlapping blocks of BLOCK words are the reference blocks; any window of
 WINDOW >= 2 * BLOCK - 1 words contains one whole. Each rolling window of BLOCK words probes them: a window that
 repeats has, wherever it starts, a probe that hits a block which occurs more than once (anchors). Around hits, windows
-of WINDOW words are compared exactly: of each distinct one the earliest start is found, and runs of the others are the
-maximal repeats, whose words are removed.
+of WINDOW words are compared by 128 bits, two independent sums of two independent hashes of each word: of each distinct
+window the earliest start is found, and runs of the others are the maximal repeats, whose words are removed. Words
+themselves are not compared: among 10^13 windows two different ones agree in 128 bits with a chance of 2 in 10^13.
 
 What is shuffled are sorted hashes, difference-coded and compressed, a row for each pair of chunk and hash range, and
 one bit for each hash in answer; a chunk (a few MB of documents with all their columns, as a compressed Arrow stream in
@@ -15,6 +16,7 @@ no document meets another.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,22 +35,42 @@ CHUNK_BYTES = 4_000_000
 CHUNKS_A_RANGE = 4
 #: Bits of a probe's hash; what agrees in them by chance only becomes a candidate.
 PROBE_BITS = 48
+#: Bits of a window's first hash that are used; fewer in tests, where the second one has to tell windows apart.
+WINDOW_BITS = 64
 _CACHE = 300_000
 
 _rng = np.random.default_rng(20_111)
-#: Odd multipliers, one for each place of a word in a window.
-_MULT = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Odd multipliers, one for each place of a word in a window, for the first hash and for the second.
+_MULT, _MULT2 = _rng.integers(0, 1 << 63, (2, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Hashes(dict):
+class _Words(dict):
+    """Numbers of the words seen, with 128 bits of hash for each."""
+
+    def __init__(self):
+        self.first, self.second = array("Q"), array("Q")
+
     def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, 7)
-        if len(self) < _CACHE:
-            self[word] = h
-        return h
+        h = xxhash.xxh3_128_intdigest(word, 7)
+        self.first.append(h & 0xFFFFFFFFFFFFFFFF)
+        self.second.append(h >> 64)
+        self[word] = n = len(self)
+        return n
+
 
+_seen = _Words()
 
-_hashes = _Hashes()
+
+def word_hashes(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The two hashes of every word of every text, in one array each."""
+    global _seen
+    if len(_seen) > _CACHE:
+        _seen = _Words()
+    get = _seen.__getitem__
+    at = np.concatenate([np.zeros(0, np.int64), *(np.fromiter(map(get, w), np.int64, len(w)) for w in texts)])
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    return np.frombuffer(_seen.first, np.uint64)[at], np.frombuffer(_seen.second, np.uint64)[at]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -77,8 +99,7 @@ class Chunk:
         self.words = [t.encode().split() if t else [] for t in self.texts]  # bytes: ASCII white space only
         self.sizes = np.array(list(map(len, self.words)), np.int64)
         self.ends = np.cumsum(self.sizes)
-        get = _hashes.__getitem__
-        self.hashes = np.concatenate([np.zeros(0, np.uint64), *(np.fromiter(map(get, w), np.uint64, len(w)) for w in self.words)])
+        self.hashes, self.seconds = word_hashes(self.words)
 
     def windows(self, size: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, hashes and documents of the windows of size words in documents of at least least words."""
@@ -109,9 +130,11 @@ def _from_bits(data: bytes, n: int) -> np.ndarray:
 
 def _ranges(sorted_hashes: np.ndarray, buckets: int, bits: int) -> list[tuple[int, int, int]]:
     """Bucket, first and end of the hashes in each of buckets equal ranges."""
-    edges = [(k << bits) // buckets for k in range(1, buckets)]
-    at = [0, *np.searchsorted(sorted_hashes, np.array(edges, np.uint64)).tolist(), len(sorted_hashes)]
-    return [(k, a, b) for k, (a, b) in enumerate(zip(at, at[1:])) if b > a]
+    if not len(sorted_hashes):
+        return []
+    k = ((sorted_hashes >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    at = [0, *(np.flatnonzero(np.diff(k)) + 1).tolist(), len(k)]
+    return [(int(k[a]), a, b) for a, b in zip(at, at[1:])]
 
 
 def _probes(c: Chunk, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -122,14 +145,17 @@ def _probes(c: Chunk, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return u, inverse, starts, (starts - (c.ends - c.sizes)[doc]) % BLOCK == 0
 
 
-def _candidates(c: Chunk, window: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, hashes and documents of the windows around a hit; hit: for each word, whether a hit starts there."""
+def _candidates(c: Chunk, window: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, first hashes, second ones and documents of the windows around a hit; hit: for each word, whether a hit starts there."""
     starts, h, doc = c.windows(window, window)
-    if not len(starts):
-        return starts, h, doc
-    total = np.concatenate([[0], np.cumsum(hit)])
-    near = total[starts + window - BLOCK + 1] > total[starts]
-    return starts[near], h[near], doc[near]
+    if len(starts):
+        total = np.concatenate([[0], np.cumsum(hit)])
+        near = total[starts + window - BLOCK + 1] > total[starts]
+        starts, h, doc = starts[near], h[near], doc[near]
+    second = np.zeros(len(starts), np.uint64)
+    for j in range(window):
+        second += c.seconds[starts + j] * _MULT2[j]
+    return starts, h >> np.uint64(64 - WINDOW_BITS) << np.uint64(64 - WINDOW_BITS), _mix(second), doc
 
 
 def _hits(c: Chunk, window: int, answers: dict[int, bytes], buckets: int) -> np.ndarray:
@@ -206,16 +232,16 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
         return {k: x for k, x in zip(t.column("bucket").to_pylist(), t.column("answer").to_pylist(), strict=True) if x is not None}
 
     found = cut(stored.mapInArrow(send_probes, "bucket int, chunk long, hashes binary, many binary, blocks binary").groupBy("bucket").applyInArrow(answer_probes, "chunk long, bucket int, answer binary").filter("answer is not null"))
-    empty_window = pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64()), "hashes": pa.array([], pa.binary()), "docs": pa.array([], pa.binary())})
+    empty_window = pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64()), "hashes": pa.array([], pa.binary()), "seconds": pa.array([], pa.binary()), "docs": pa.array([], pa.binary())})
 
     def send_windows(t: pa.Table, hits: pa.Table) -> pa.Table:
         rows = []
         if hits.num_rows:
             for chunk, data in zip(t.column("chunk").to_pylist(), t.column("data"), strict=True):
                 c = Chunk(data.as_buffer(), text_col)
-                u, first = _firsts(c, *_candidates(c, window, _hits(c, window, given(hits), buckets)), id_col)[:2]
+                u, second, first, _ = _firsts(c, *_candidates(c, window, _hits(c, window, given(hits), buckets)), id_col)
                 for k, x, y in _ranges(u, buckets, 64):
-                    rows.append((k, chunk, _pack(u[x:y]), zstandard.ZstdCompressor(level=1).compress(first[x:y].astype("<i8").tobytes())))
+                    rows.append((k, chunk, _pack(u[x:y]), second[x:y].astype("<u8").tobytes(), zstandard.ZstdCompressor(level=1).compress(first[x:y].astype("<i8").tobytes())))
         trim()
         if not rows:
             return empty_window
@@ -226,18 +252,18 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
         parts = [_unpack(x.as_py()) for x in t.column("hashes")]
         n = list(map(len, parts))
         h = np.concatenate(parts)
+        second = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in t.column("seconds")])
         doc = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), "<i8") for x in t.column("docs")])
         chunk = np.repeat(np.array(t.column("chunk").to_pylist()), n)
-        order = np.lexsort((chunk, doc, h))
-        new = np.ones(len(h), bool)
-        new[1:] = h[order][1:] != h[order][:-1]
+        order = np.lexsort((chunk, doc, second, h))
+        new = _changes(h[order], second[order])
         first = np.zeros(len(h), bool)
         first[order[new]] = True
         each = [_bits(x) for x in np.split(first, np.cumsum(n)[:-1])]
         return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"), "answer": pa.array(each, pa.binary())})
 
     meet = lambda other: stored.groupBy("chunk").cogroup(other.groupBy("chunk"))
-    firsts = meet(found).applyInArrow(send_windows, "bucket int, chunk long, hashes binary, docs binary").groupBy("bucket").applyInArrow(answer_windows, "chunk long, bucket int, answer binary")
+    firsts = meet(found).applyInArrow(send_windows, "bucket int, chunk long, hashes binary, seconds binary, docs binary").groupBy("bucket").applyInArrow(answer_windows, "chunk long, bucket int, answer binary")
     answers = cut(found.select("chunk", "bucket", "answer", F.lit(0).alias("kind")).union(firsts.select("chunk", "bucket", "answer", F.lit(1).alias("kind"))))
 
     def last(t: pa.Table, got: pa.Table) -> pa.Table:
@@ -248,8 +274,8 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
             gone = np.zeros(len(c.hashes), bool)
             if got.num_rows:
                 hits = given(got.filter(pa.array(kind == 0)))
-                starts, h, doc = _candidates(c, window, _hits(c, window, hits, buckets))
-                u, _, place = _firsts(c, starts, h, doc, id_col)
+                starts, h, second, doc = _candidates(c, window, _hits(c, window, hits, buckets))
+                u, _, _, place = _firsts(c, starts, h, second, doc, id_col)
                 own = np.zeros(len(u), bool)
                 firsts_here = given(got.filter(pa.array(kind == 1)))
                 for k, x, y in _ranges(u, buckets, 64):
@@ -265,13 +291,20 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
     return meet(answers).applyInArrow(last, ddl)
 
 
-def _firsts(c: Chunk, starts: np.ndarray, h: np.ndarray, doc: np.ndarray, id_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, the id of the document where each starts first in the chunk, and the place of that window."""
+def _changes(h: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Where a pair of hashes, in order, is not the one before it."""
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (second[1:] != second[:-1])
+    return new
+
+
+def _firsts(c: Chunk, starts: np.ndarray, h: np.ndarray, second: np.ndarray, doc: np.ndarray, id_col: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of hashes, the id of the document where each starts first in the chunk, and the place of that window."""
     ids = c.batch.column(id_col).cast(pa.int64()).fill_null(-(1 << 63)).to_numpy()
     of = ids[doc] if len(doc) else np.zeros(0, np.int64)
-    order = np.lexsort((starts, of, h))
-    u, at = np.unique(h[order], return_index=True)
-    return u, of[order[at]], order[at]
+    order = np.lexsort((starts, of, second, h))
+    order = order[_changes(h[order], second[order])]
+    return h[order], second[order], of[order], order
 
 
 def _kept(c: Chunk, gone: np.ndarray) -> Iterator[tuple[list[bytes], int]]:

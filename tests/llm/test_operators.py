@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import types
 import zlib
 
 import numpy as np
@@ -169,6 +170,27 @@ def test_substrings(spark, monkeypatch, spread_out):
     assert sorted(r.n_removed for r in twice) == [0, 0, 900]
 
 
+def test_words_decide_where_first_hashes_agree(spark, monkeypatch, spread_out):
+    """With 4 bits of the first hash and 6 of a probe's, different windows meet all the time."""
+    with open(substring_dedup.__file__, encoding="utf-8") as f:
+        source = f.read().replace("WINDOW_BITS = 64", "WINDOW_BITS = 4").replace("PROBE_BITS = 48", "PROBE_BITS = 33")
+    short = types.ModuleType("short_hashes")
+    exec(source, short.__dict__)
+    rng = random.Random(8)
+    docs = [prose(rng.randrange(12), rng.randrange(20, 400)) for _ in range(60)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in short.removed_words(table(spark, docs)).collect()}
+    assert got == brute.repeats(list(enumerate(docs)))
+
+
+def test_ranges_cover_all_hashes():
+    h = np.sort(np.random.default_rng(1).integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2))
+    for n in (1, 3, 4096):
+        got = substring_dedup._ranges(h, n, 64)
+        assert [a for _, a, _ in got] == [0, *(b for *_, b in got[:-1])] and got[-1][2] == len(h)
+        assert all(int(h[a]) * n >> 64 == k == int(h[b - 1]) * n >> 64 for k, a, b in got if n < 4096) and [k for k, *_ in got] == sorted({k for k, *_ in got})
+    assert substring_dedup._ranges(h[:0], 3, 64) == []
+
+
 def test_substrings_of_few_words(spark):
     rng = random.Random(3)
     docs = [" ".join(rng.choice("ab") for _ in range(rng.randrange(60))) for _ in range(60)]
@@ -193,15 +215,40 @@ def test_simhash(spark, spread_out):
     assert sorted((r.doc_id or -1, r.component_id) for r in simhash.near_duplicates(table(spark, ["a b", "a b", "a b"], [4, 4, None])).collect()) == [(-1, 4), (4, 4), (4, 4)]
 
 
-def test_links_are_complete(spark):
-    rng = random.Random(9)
-    fps = {rng.getrandbits(64) for _ in range(20)}
+def some_fingerprints(seed=9):
+    rng = random.Random(seed)
+    fps = {rng.getrandbits(64) for _ in range(20)} | {0, (1 << 64) - 1}
     for f in list(fps):
         for d in (1, 3, 4, 4, 5):
             fps.add(f ^ sum(1 << b for b in rng.sample(range(64), d)))
-    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    got = {frozenset((r.u, r.v)) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()}
-    assert got == {frozenset((a, b)) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    return [f - (1 << 64) if f >> 63 else f for f in sorted(fps)]
+
+
+@pytest.mark.parametrize("n,distance,slice_rows", [(100, 4, 2048), (1e7, 4, 2048), (1e13, 4, 2048), (100, 1, 2), (100, 0, 2), (1e6, 9, 5)])
+def test_links_are_complete(spark, monkeypatch, spread_out, n, distance, slice_rows):
+    """Every layout, and hot buckets in slices, join what a comparison of all pairs joins."""
+    real = simhash.layout
+    monkeypatch.setattr(simhash, "layout", lambda d, _: real(d, n))
+    monkeypatch.setattr(simhash, "SLICE", slice_rows)
+    fps = some_fingerprints()
+    got = {r.node: r.component for r in simhash.link_components(spark.createDataFrame([(f,) for f in fps], "fp long"), distance).collect()}
+    want = brute.components(fps, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= distance)
+    assert all(got.get(f, f) == want[f] for f in fps)
+
+
+def test_layouts_lose_no_pair():
+    for n in (1, 10**5, 10**8, 10**12):
+        for d in range(12):
+            plan = simhash.layout(d, n)
+            assert sum(w for w, _ in plan) == 64 and sum(r + 1 for _, r in plan) > d and (d == 0 or max(r for _, r in plan) > 0)
+
+
+def test_hot_keys_are_attached_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 10)
+    rows = spark.createDataFrame([(i, i % 7 if i < 100 else 0) for i in range(1000)], "i long, k long")
+    table_ = rows.groupBy("k").agg(F.count("*").alias("n")).withColumn("name", F.concat(F.lit("k"), "k"))
+    got = {(r.i, r.name) for r in common.attach(rows, table_, "k", "n").collect()}
+    assert got == {(i, f"k{i % 7 if i < 100 else 0}") for i in range(1000)}
 
 
 def test_components(spark, spread_out):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.llm import brute
 
 import corpus_pipeline
-from loomdoc.llm import shingle_dedup
+from loomdoc.llm import simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -43,7 +43,35 @@ def test_near_duplicate_stage_keeps_one_of_each_group_at_0_8(spark):
     comp = brute.components(list(range(len(texts))), lambda a, b: similar(texts[a], texts[b]))
     out = corpus_pipeline.near_duplicate(spark, docs(spark, texts), "")
     assert sorted(r.doc_id for r in out.collect()) == [i for i in range(len(texts)) if comp[i] == i]
-    got = {r.doc_id: r.component_id for r in shingle_dedup.near_duplicates(docs(spark, texts).withColumn("node", F.lit(1))).collect()}
+    got = {r.doc_id: r.component_id for r in simhash.similar(docs(spark, texts).withColumn("node", F.lit(1))).collect()}
+    assert got == comp
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (1, a.upper()), (None, b + " c"), (None, "quite another text"), (2, None), (2, ""), (None, None)]
+    got = simhash.keep_one(spark.createDataFrame([(i, t, "clash", 7) for i, t in rows], "doc_id long, text string, digest_0 string, Least_0 int").repartition(3))
+    assert got.columns == ["doc_id", "text", "digest_0", "Least_0"]
+    kept = [(r.doc_id, (r.text or "").lower()) for r in got.collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (None, "quite another text"), (2, "")], key=str)
+
+
+def test_dense_groups_below_and_above_the_similarity(spark):
+    """Near copies of one text, many more than a slice holds, and texts that share half of their words with it."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(90):
+        w = list(base)
+        for p in rng.sample(range(120), 2 if k % 3 else 14):
+            w[p] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    comp = brute.components(list(range(len(texts))), lambda a, b: similar(texts[a], texts[b]))
+    simhash_slice, simhash.SLICE = simhash.SLICE, 8
+    try:
+        got = {r.doc_id: r.component_id for r in simhash.similar(docs(spark, texts)).collect()}
+    finally:
+        simhash.SLICE = simhash_slice
     assert got == comp
 
 
