@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in five stages.
 
-Each stage takes all that the one before kept: the quality classifier drops what it rejects, one document stays of each
-group linked by a similarity of five-word shingles of 0.8 or more, passages that occur earlier lose their later copies,
+Each stage takes all that the one before kept: the quality classifier drops what it rejects, SimHash near-dedup leaves one
+document of each group linked by a similarity of five-word shingles of 0.8 or more, passages that occur earlier lose their later copies,
 secrets are replaced by a mark, and what is left is packed into sequences of 2048 tokens. Stages meet as Parquet tables;
 run() leaves them to Spark.
 """
@@ -13,11 +13,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomdoc.llm.common import cut, remove, shared_dir, table
+from loomdoc.llm.common import free_name, remove, shared_dir, table
 from loomdoc.llm.packing import pack_sequences
 from loomdoc.llm.quality import keep_good
 from loomdoc.llm.secrets import redact
-from loomdoc.llm.shingle_dedup import near_duplicates
+from loomdoc.llm.simhash import keep_one
 from loomdoc.llm.substring_dedup import remove_repeats
 
 
@@ -27,29 +27,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by a Jaccard similarity of 0.8 or more the document with the smallest id; rows without an id stay.
+    """Of each group of texts linked by a Jaccard similarity of five-word shingles of 0.8 or more, one document.
 
-    Of rows that repeat an id one stays. The others' ids are removed by an anti-join, so no group is gathered.
+    It is the one with the smallest id. Rows that share an id are documents of their own.
     """
-    found = near_duplicates(docs.filter("doc_id is not null"), similarity=0.8, shingle=5)
-    found = cut(found.select("doc_id", "component_id"))
-    again = found.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    gone = found.filter("doc_id <> component_id").select("doc_id").union(again).distinct()
-    names = docs.columns
-    rest = docs.join(gone, "doc_id", "left_anti").select(*names)
-    one = docs.join(again.join(found.filter("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id", "left_semi").select(*names).dropDuplicates(["doc_id"])
-    return rest.unionByName(one)
+    return keep_one(docs, similarity=0.8, shingle=5)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of windows of 20 that start earlier; n_chars follows; texts of which nothing is left go."""
-    kept = remove_repeats(docs.withColumn("had_text", F.expr("coalesce(text, '') <> ''")), window=20)
-    return kept.filter("text is null or text <> '' or not had_text").withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
+    """Texts without the words of windows of 20 that start earlier; n_chars, where there is one, follows.
+
+    Rows go only if they had words and every one was removed.
+    """
+    had = free_name(docs.columns, "had_text_")
+    kept = remove_repeats(docs.withColumn(had, F.expr("coalesce(text, '') <> ''")), window=20)
+    kept = kept.filter(F.expr(f"text is null or text <> '' or not {had}"))
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*(f"`{c}`" for c in docs.columns))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every secret replaced by [SECRET]; no document goes."""
-    return redact(docs).select(*docs.columns)
+    return redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
