@@ -12,17 +12,18 @@ its size as 8 bytes, magic.
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomdoc.llm.bytebpe import encoder
-from loomdoc.llm.common import cut, slices
+from loomdoc.llm.common import shared_dir, slices
 
 MAGIC = b"BPLN\x01\x00\x00\x00"
 #: Ids in a block; a multiple of 8.
@@ -97,18 +98,24 @@ class File:
         return ids[start - blocks[0] * self.block : stop - blocks[0] * self.block]
 
 
-def write_ids(docs: DataFrame, path: str, end_id: int = 2, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Files of the ids of every text, each with end_id after it, in ascending document order.
+def write_ids(docs: DataFrame, path: str, end_id: int = 2, parts: int | None = None, out: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> str:
+    """Write files of the ids of every text, each with end_id after it, in ascending document order; returns their folder.
 
-    Rows: part and seq (their order is the documents'), the ids of the part before the file, n_ids, and the file's bytes, written to the shared folder by
-    Spark, whose commit leaves no half-written file when an executor is lost. Texts are dealt out by ranges of the
-    id, which balances by rows read and puts no group into one task; null texts are empty, null ids come first, and
-    rows of one id are in the order of their texts.
+    The folder, out or one of its own in the shared folder, holds Parquet rows part and seq (their order is the
+    documents'), before (the ids of the part before the file), n_ids, and file, the bytes that File opens, one file a
+    row: Python on executors reaches no general store, and Spark's commit leaves nothing half-written when an executor
+    is lost. The folder stays until someone deletes it; an existing one is an error. path: the tokenizer's.
+
+    Texts are dealt out by ranges of the id and a hash of the text, so neither one id nor null ids fill a task. Null
+    texts are empty, null ids come first, and rows of one id are in the order of that hash, then of their texts. A very
+    long text is a row like others and its file as much longer. Other columns are left out; an empty table leaves a
+    folder without rows.
     """
     spark = docs.sparkSession
+    out = out or f"{shared_dir(spark).rstrip('/')}/ids-{uuid.uuid4().hex}"
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"coalesce(cast(`{text_col}` as string), '') as text")
-    dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"coalesce(cast(`{text_col}` as string), '') as text").withColumn("h", F.xxhash64("text"))
+    dealt = rows.repartitionByRange(n, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     schema = pa.schema([("part", pa.int64()), ("seq", pa.int64()), ("before", pa.int64()), ("n_ids", pa.int64()), ("file", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,17 +147,18 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 2, parts: int | None = N
         if keep:
             yield file()
 
-    return cut(dealt.mapInArrow(run, "part long, seq long, before long, n_ids long, file binary"))
+    dealt.mapInArrow(run, "part long, seq long, before long, n_ids long, file binary").write.parquet(out)
+    return out
 
 
-def read_ids(files: DataFrame, with_ids: bool = False) -> DataFrame:
-    """What the files hold, a row for each document: doc_id, start, n_tokens, ids_crc32, on demand the packed ids.
+def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
+    """What the files of a folder hold, a row for each document: doc_id, start, n_tokens, ids_crc32, on demand the packed ids.
 
     start counts the ids of all documents before it: those of earlier parts (a sum for each of the parts that write_ids
     was given, 16 bytes, goes to the driver and back), of earlier files of the part, and of the file itself.
     """
+    files = spark.read.parquet(folder)
     by_part = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    spark = files.sparkSession
     bases, at = {}, 0
     for part, n in sorted((r.part, r.n) for r in by_part.collect()):
         bases[part] = at

@@ -8,6 +8,7 @@ that the weights have not seen are calibrated by the pool-adjacent-violators rul
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,13 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomdoc.llm.common import cut, shuffle_partitions, slices
+from loomdoc.llm.common import attach, cut, free_name, shuffle_partitions, slices
 
 WIDTH, SEED, RIDGE, SCALE = 320, 5, 1e-3, 0.16
 #: Bins of uncalibrated scores, from LOW to HIGH.
 BINS, LOW, HIGH = 768, -1.0, 2.0
-_PARTIALS = 8
+#: Sums that a task adds up, and at most that many that the driver does.
+FAN_IN = 16
 
 _NAMES = ("upper", "lower", "digit", "space", "newline", "stop", "comma", "bang", "quote", "symbol", "dash", "bracket", "pipe", "beyond")
 _SETS = {"upper": range(65, 91), "lower": range(97, 123), "digit": range(48, 58), "space": b" \t", "newline": b"\n\r", "stop": b".", "comma": b",;:", "bang": b"!?", "quote": b"\"'`", "symbol": b"#$%&*@^~+=\\/_", "dash": b"-", "bracket": b"()[]{}<>", "pipe": b"|", "beyond": range(128, 256)}
@@ -127,7 +130,14 @@ def _summed(rows: DataFrame, of) -> np.ndarray:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    got = rows.select("x", "y").mapInArrow(part, "sums binary").repartition(_PARTIALS).mapInArrow(add, "sums binary").collect()
+    sums = rows.select("x", "y").mapInArrow(part, "sums binary")
+    parts = max(1, math.ceil(shuffle_partitions(rows.sparkSession) / FAN_IN))
+    while True:  # a task adds about FAN_IN sums, whatever their number
+        sums = sums.repartition(parts).mapInArrow(add, "sums binary")
+        if parts <= FAN_IN:
+            break
+        parts = math.ceil(parts / FAN_IN)
+    got = sums.collect()
     return sum(np.frombuffer(bytes(r.sums)) for r in got) if got else np.zeros(0)
 
 
@@ -138,7 +148,8 @@ def fit(feats: DataFrame, labels: DataFrame) -> Model:
     one id the highest does. Without labelled rows every score is 0.5.
     """
     marked = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").cast("double").alias("y"))
-    known = feats.join(marked, "doc_id").withColumn("fold", fold()).filter("fold <> 0").select("x", "y", "fold")
+    held = feats.groupBy("doc_id").agg(F.count("*").alias("n"))
+    known = attach(feats.select("doc_id", "x"), cut(marked.join(held, "doc_id")), "doc_id", "n").withColumn("fold", fold()).filter("fold <> 0").select("x", "y", "fold")
     known = cut(known.repartition(shuffle_partitions(feats.sparkSession)))
     d = len(statistics(""))
     empty = Model(np.zeros(d), np.ones(d), np.zeros(0), np.zeros(0), np.zeros(0))
@@ -170,7 +181,12 @@ def fit(feats: DataFrame, labels: DataFrame) -> Model:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score and predicted of every row; held_out is null for a null id. Other columns are left out."""
+    """doc_id, held_out, score and predicted of every row; held_out is null for a null id.
+
+    Null texts are scored as empty ones; rows of one id are scored each by their own text, and all count in the fit if
+    the id is labelled; columns of any other name, labels' too, are left out. A very long text is a row like others.
+    Without labelled rows every score is 0.5; an empty table gives no rows.
+    """
     feats = cut(features(docs, id_col, text_col))
     m = fit(feats, labels)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -185,13 +201,26 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, i
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all columns, whose score reaches the threshold. Statistics are taken twice: for the fit, of labelled rows, and again here, so that no text is shuffled."""
-    m = fit(features(docs, id_col, text_col), labels)
-    schema = docs.schema
+    """The rows of docs, with all columns, whose score reaches the threshold.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Null and empty texts are scored like others; rows without an id count by their text. Texts are read once: rows are
+    written with their statistics, from which the model is fitted and the choice made.
+    """
+    names, x = docs.columns, free_name(docs.columns, "statistics_")
+    wide = T.StructType([*docs.schema.fields, T.StructField(x, T.ArrayType(T.DoubleType()))])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            keep = m.score(_matrix(b.column(text_col).to_pylist())) >= threshold
-            yield b.filter(pa.array(keep))
+            got = _matrix(b.column(text_col).cast(pa.string()).to_pylist()).tolist()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.list_(pa.float64()))], names=[*b.schema.names, x])
+
+    rows = cut(docs.mapInArrow(measure, wide))
+    m = fit(rows.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(x).alias("x")), labels)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.column(b.schema.get_field_index(x))
+            keep = m.score(np.array(at.flatten()).reshape(b.num_rows, -1)) >= threshold
+            yield b.select(names).filter(pa.array(keep))
 
-    return docs.mapInArrow(run, schema)
+    return rows.mapInArrow(choose, docs.schema)

@@ -24,7 +24,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.token_counts import token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), budget=512)
+    return token_counts(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), budget=512, cuts=True)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bitplane_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomdoc.llm.bitplane import read_ids, write_ids
 
-    return read_ids(write_ids(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), end_id=2))
+    return read_ids(spark, write_ids(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), end_id=2))
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Token counts at every prefix of a text, by dynamic programming over the byte-level BPE's vocabulary.
 
 The last token of a prefix is the longest vocabulary entry that ends it and that can stand after the last token of
-what is left; counts follow from the shorter prefix. That gives the exact count of every prefix of a match, and with
+what is left; counts follow from the shorter prefix. An automaton over the vocabulary names the entries that end at each
+byte, longest first, so the cost of a match is linear in its bytes. That gives the exact count of every prefix of a match, and with
 the matches' running sum that of every prefix of a text, so truncation and budget questions need no second encoding.
 """
 
@@ -11,6 +12,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -46,7 +48,10 @@ class PrefixCounts:
         for i, (a, b) in enumerate(pairs):
             self.rank[as_bytes(a), as_bytes(b)] = i
         self.vocab = {as_bytes(t): i for t, i in model["vocab"].items()}
-        self.longest = max(map(len, self.vocab))
+        self.ends = ahocorasick.Automaton()
+        for t in self.vocab:
+            self.ends.add_word(t.decode("latin-1"), t)
+        self.ends.make_automaton()
         self.tok = Tokenizer.from_file(path)
         self.find = regex.compile(public_tokenizers.PATTERN).findall
         self.special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
@@ -76,16 +81,16 @@ class PrefixCounts:
     def byte_counts(self, word: bytes) -> list[int]:
         """Tokens of each prefix of a match, by bytes, from the empty one on."""
         count, last = [0], [b""]
-        vocab, longest, known = self.vocab, self.longest, self.fits
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                t = word[start:end]
-                if t in vocab:
-                    before = last[start]
-                    if not start or (known[before, t] if (before, t) in known else self._fits(before, t)):
-                        count.append(count[start] + 1)
-                        last.append(t)
-                        break
+        known, done = self.fits, 0
+        for at, t in self.ends.iter(word.decode("latin-1")):  # by ends, for each the longest first
+            if at < done:
+                continue
+            start = at + 1 - len(t)
+            before = last[start]
+            if not start or (known[before, t] if (before, t) in known else self._fits(before, t)):
+                count.append(count[start] + 1)
+                last.append(t)
+                done = at + 1
         return count
 
     def _word(self, word: str) -> np.ndarray:
@@ -131,8 +136,8 @@ class PrefixCounts:
             sums = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
             yield from (sums[ends] - sums[ends - sizes]).tolist()
 
-    def prefixes(self, text: str) -> np.ndarray:
-        """Tokens of text[:i] for every i from 0 to its length.
+    def prefixes(self, text: str, budget: int | None = None) -> np.ndarray:
+        """Tokens of text[:i] for every i from 0 to its length, with a budget at least up to the last one within it.
 
         A prefix is taken as a text of its own: spaces that end it are one match, and part of a special string is
         ordinary text.
@@ -151,11 +156,13 @@ class PrefixCounts:
             out.append(inner)
             at += len(match)
             total += self._total(match)
+            if budget is not None and gap is None and total > budget:
+                break  # longer prefixes hold these matches whole
         return np.concatenate(out)
 
     def cut(self, text: str, budget: int) -> int:
         """Characters of the longest prefix of at most budget tokens."""
-        return int(np.flatnonzero(self.prefixes(text) <= budget)[-1])
+        return int(np.flatnonzero(self.prefixes(text, budget) <= budget)[-1])
 
 
 def _unassigned(c: str) -> bool:
@@ -167,7 +174,8 @@ def token_counts(docs: DataFrame, path: str, budget: int = 512, prefixes: bool =
 
     Null texts count as empty ones; every row gives a row, repeated and null ids too; other columns are left out.
     cuts adds cut_chars, the length of the longest prefix within the budget; prefixes adds prefix_tokens, the count
-    for every prefix. No shuffle; a worker holds a run of texts at a time.
+    for every prefix. No shuffle; a worker holds a run of texts at a time. Very long texts, unbroken ones too, cost in
+    proportion to their length.
     """
     fields = [pa.field("doc_id", pa.int64()), pa.field("n_bytes", pa.int64()), pa.field("n_tokens", pa.int64()), pa.field("over_limit", pa.bool_())]
     ddl = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"

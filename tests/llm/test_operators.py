@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import types
@@ -68,6 +69,29 @@ def test_every_prefix():
         assert c.prefixes(t).tolist() == [len(tokens(t[:i])) for i in range(len(t) + 1)], t
 
 
+def test_unbroken_text_costs_in_proportion():
+    import time
+
+    c = token_counts.PrefixCounts(JSON)
+    rng = random.Random(1)
+    took = []
+    for n in (20_000, 80_000):
+        t = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+        began = time.process_time()
+        assert c.byte_counts(t.encode())[-1] == len(tokens(t))
+        took.append(time.process_time() - began)
+    assert took[1] < 12 * took[0] + 1
+
+
+def test_cuts_at_any_budget():
+    c = token_counts.PrefixCounts(JSON)
+    for t in [*ODD, prose(1, 60), "a   b\n\n c <|endoftext|> d" * 3]:
+        t = t[:300]
+        p = c.prefixes(t)
+        for budget in (0, 1, 2, 5, 17, 10_000):
+            assert c.cut(t, budget) == int(np.flatnonzero(p <= budget)[-1]), (t, budget)
+
+
 def test_runs_and_long_texts(monkeypatch):
     monkeypatch.setattr(bytebpe, "RUN_CHARS", 40)
     monkeypatch.setattr(bytebpe, "MAX_UNITS", 50)
@@ -101,15 +125,37 @@ def test_bit_planes(spark, spread_out):
     with pytest.raises(ValueError):
         bitplane.File(b"nothing of the kind, and long enough")
     docs = mixed()
-    got = {r.doc_id: r for r in bitplane.read_ids(bitplane.write_ids(table(spark, docs), JSON, 2, parts=4), with_ids=True).collect()}
+    got = {r.doc_id: r for r in bitplane.read_ids(spark, bitplane.write_ids(table(spark, docs), JSON, 2, parts=4), with_ids=True).collect()}
     start = 0
     for i, t in enumerate(docs):
         ids = np.array([*tokens(t), 2], "<u4").tobytes()
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32, bytes(got[i].ids)) == (start, len(ids) // 4, zlib.crc32(ids), ids)
         start += len(ids) // 4
-    twice = bitplane.read_ids(bitplane.write_ids(table(spark, ["b", "a", "c", "d"], [1, 1, None, 0]), JSON, 2)).orderBy("start").collect()
+    twice = bitplane.read_ids(spark, bitplane.write_ids(table(spark, ["b", "a", "c", "d"], [1, 1, None, 0]), JSON, 2)).orderBy("start").collect()
     assert [r.doc_id for r in twice] == [None, 0, 1, 1]
-    assert bitplane.read_ids(bitplane.write_ids(table(spark, []), JSON)).count() == 0
+    assert bitplane.read_ids(spark, bitplane.write_ids(table(spark, []), JSON)).count() == 0
+
+
+def test_files_of_ids_can_be_opened_by_path(spark, tmp_path, monkeypatch, spread_out):
+    """An id that a third of all rows share, and null ids, are spread; any Parquet reader finds the files."""
+    import pyarrow.parquet as pq
+
+    texts = [prose(i, 10) for i in range(300)]
+    ids = [5 if i % 3 == 0 else None if i % 3 == 1 else i for i in range(300)]
+    out = f"file://{tmp_path}/ids"
+    assert bitplane.write_ids(table(spark, texts, ids), JSON, 2, parts=6, out=out) == out
+    rows = sorted(pq.read_table(f"{tmp_path}/ids").to_pylist(), key=lambda r: (r["part"], r["seq"]))
+    per_part = [sum(r["n_ids"] for r in rows if r["part"] == p) for p in range(6)]
+    assert max(per_part) < 2 * sum(per_part) / 6
+    files = [bitplane.File(r["file"]) for r in rows]
+    every = np.concatenate([f.read(0, f.n_ids) for f in files]).tolist()
+    got = bitplane.read_ids(spark, out, with_ids=True).orderBy("start").collect()
+    assert every == np.concatenate([np.frombuffer(r.ids, "<u4") for r in got]).tolist()
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+    assert [r.doc_id for r in got] == sorted(ids, key=lambda i: -1 if i is None else i)
+    assert sorted(bytes(r.ids) for r in got) == sorted(np.array([*tokens(t), 2], "<u4").tobytes() for t in texts)
+    with pytest.raises(Exception, match="exists"):
+        bitplane.write_ids(table(spark, texts), JSON, out=out)
 
 
 def check_packs(pieces, size, lengths):
@@ -371,12 +417,34 @@ def test_top_k(spark):
 
 def test_top_k_blocks(spark, monkeypatch, spread_out):
     monkeypatch.setattr(topk_nra, "ROWS", 30)
-    monkeypatch.setattr(topk_nra, "QUERIES", 5)
     rows = [(i, v.tolist(), 0, "n", "d") for i, v in enumerate(near(8))]
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk_nra.search(vectors(spark, rows), every=7).collect())
     assert got == brute.top_k([(i, v) for i, v, *_ in rows], 7, 10)
 
 
+def plain_top_k(rows, every, k=10):
+    x = [(i, [math.floor(1024 * c) for c in v]) for i, v, *_ in rows]
+    out = []
+    for q in sorted({i for i, _ in x if i % every == 0}):
+        mine = min(v for i, v in x if i == q)
+        s = sorted((-sum(a * b for a, b in zip(mine, v, strict=True)), i) for i, v in x if i != q and len(v) == len(mine))
+        out += [(q, r, i, -n) for r, (n, i) in enumerate(s[:k], 1)]
+    return out
+
+
+def test_top_k_of_repeated_ids_mixed_dimensions_and_large_components(spark, monkeypatch, spread_out):
+    monkeypatch.setattr(topk_nra, "ROWS", 16)
+    rng = np.random.default_rng(2)
+    rows = [(0 if i % 3 == 0 else i, rng.normal(size=3 + i % 2).tolist(), 0, "", "") for i in range(90)] + [(100, [1.0] * 3, 0, "", "")] * 3
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk_nra.search(vectors(spark, rows), every=10).collect())
+    assert got == plain_top_k(rows, 10)
+    large = [(i, (rng.normal(size=4) * 2.0**18).round().tolist(), 0, "", "") for i in range(40)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk_nra.search(vectors(spark, large), every=10).collect())
+    assert got == plain_top_k(large, 10) and max(abs(s) for *_, s in got) > 2**53
+    with pytest.raises(Exception, match="64 bits"):
+        topk_nra.search(vectors(spark, [(i, [1e12] * 2, 0, "", "") for i in range(10)]), every=10).collect()
+
+
 def check_embeddings(spark, recall, x, labels, ids=None, least=1.0):
     ids = list(range(len(x))) if ids is None else ids
     rows = [(i, v.tolist(), k, "n", "d") for i, v, k in zip(ids, x, labels, strict=True)]
@@ -456,6 +524,43 @@ def test_quality(spark):
     assert quality.quality_scores(table(spark, []), labels).count() == 0
 
 
+def test_weights_and_calibration_by_plain_code(spark):
+    """Normal equations of all rows at once and an isotonic fit by definition give the operator's scores."""
+    docs, marks = labelled(spark)
+    rng = np.random.default_rng(1)
+    marks = [(i, q if rng.random() > 0.15 else 1 - q, 0) for i, q, _ in marks]  # so that there is something to calibrate
+    labels = spark.createDataFrame([*marks, marks[3], (marks[4][0], 1 - marks[4][1], 0)], "doc_id long, quality int, toxic int")
+    y = {i: float(q) for i, q, _ in marks}
+    y[marks[4][0]] = 1.0
+    got = {r.doc_id: r for r in quality.quality_scores(table(spark, docs), labels.withColumn("text", F.lit("clash"))).collect()}
+    x = np.array([quality.statistics(t) for t in docs])
+    fold = np.array([zlib.crc32(str(i).encode()) % 5 for i in range(len(docs))])
+    t = np.array([y[i] for i in range(len(docs))])
+    fit, cal = fold > 1, fold == 1
+    mean, spread = x[fit].mean(0), np.sqrt(np.maximum(x[fit].var(0), 1e-8))
+    gen = np.random.default_rng(quality.SEED)
+    w, b = gen.normal(0, quality.SCALE, (x.shape[1], quality.WIDTH)), gen.uniform(0, 2 * np.pi, quality.WIDTH)
+    z = np.clip((x - mean) / spread, -6, 6)
+    lift = np.hstack([np.ones((len(z), 1)), z, np.sqrt(2 / quality.WIDTH) * np.cos(z @ w + b)])
+    ridge = np.sqrt(quality.RIDGE * fit.sum()) * np.diag([0.0] + [1.0] * (lift.shape[1] - 1))
+    beta = np.linalg.lstsq(np.vstack([lift[fit], ridge]), np.concatenate([t[fit], np.zeros(len(ridge))]), rcond=None)[0]
+    raw = lift @ beta
+    assert {i: r.held_out for i, r in got.items()} == {i: bool(f == 0) for i, f in enumerate(fold)}
+    at = np.clip(((raw[cal] - quality.LOW) / (quality.HIGH - quality.LOW) * quality.BINS).astype(int), 0, quality.BINS - 1)
+    full = np.unique(at)
+    n, total = np.array([(at == k).sum() for k in full]), np.array([t[cal][at == k].sum() for k in full])
+    # the isotonic fit by its definition: the largest over starts of the least over ends of the means between
+    values = [max(min(total[a : e + 1].sum() / n[a : e + 1].sum() for e in range(k, len(n))) for a in range(k + 1)) for k in range(len(n))]
+    want = np.clip(np.interp(raw, quality.LOW + (full + 0.5) * (quality.HIGH - quality.LOW) / quality.BINS, values), 0, 1)
+    assert np.allclose([got[i].score for i in range(len(docs))], want, atol=1e-4)
+
+
+def test_sums_by_levels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FAN_IN", 2)
+    rows = spark.range(1000).selectExpr("array(cast(id as double), 1D) as x", "cast(id % 2 as double) as y").repartition(13)
+    assert quality._summed(rows, lambda x, y: np.array([x[:, 0].sum(), len(y), y.sum()])).tolist() == [499500.0, 1000.0, 500.0]
+
+
 def test_isotonic():
     assert quality.isotonic(np.array([1, 1, 2]), np.array([1, 0, 2])).tolist() == [0.5, 0.5, 1.0]
 
