@@ -14,7 +14,10 @@ around its own; what it finds is compared by the distance of whole fingerprints.
 
 Only distinct texts take part. Within a bucket each text is first compared with one of the bucket alone; what these
 links join is not compared again, so a dense group of near copies costs a few comparisons for each text, not one for
-each pair. Then every pair of a bucket that they have not joined is compared.
+each pair. Then every pair of a bucket that they have not joined is compared. Where a similarity decides, buckets that
+stay mixed and dense get a step between: how many of a text's shingles occur in another text of such buckets bounds what
+it can share with any. The text with the largest share of these (what the others are copies of, if it is there) is
+compared with the rest of its bucket, and pairs that the bounds rule out are left out; none that links is.
 """
 
 from __future__ import annotations
@@ -34,13 +37,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomdoc.llm.common import attach, components, cut, free_name, slices
-from loomdoc.llm.substring_dedup import rolling, word_hashes
 
 SEED = 42
 #: Least certain bits of a segment that its ball turns; deviations of the distance that are let through beyond its mean.
-FLIPS, SLACK = 3, 3.5
+FLIPS, SLACK = 3, 3.0
 #: Rows of a bucket that one task compares with what looks it up, and comparisons that cost as much as a row moved.
 SLICE, RATIO = 2048, 50
+#: Rows of a mixed bucket from which it is dense (and four times the mean at least), and words of the fingerprints by
+#: which texts of such are compared.
+DENSE, SKETCH = 16, 16
 
 
 def words(text: str) -> list[bytes]:
@@ -56,13 +61,13 @@ def hashes(w: list[bytes], shingle: int) -> np.ndarray:
         return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
     ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: len(w) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)], "<u8")
+    of = xxhash.xxh64_digest
+    return np.frombuffer(b"".join([of(joined[a:b], SEED) for a, b in zip(starts[: len(w) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)]), ">u8").astype("<u8")
 
 
 def shingle_set(w: list[bytes], shingle: int) -> np.ndarray:
     """Hashes of the distinct runs of shingle words, of all words where they are fewer; none without words."""
-    return np.unique(rolling(word_hashes([w])[0], min(shingle, len(w)))) if w else np.zeros(0, np.uint64)
+    return np.unique(hashes(w, shingle))
 
 
 def bit_counts(h: np.ndarray, n_words: int = 1) -> np.ndarray:
@@ -133,23 +138,46 @@ def _ball(segment: Column, width: int, radius: int) -> Column:
     return out
 
 
-def _linked(nodes: DataFrame, own: Column, probes: Column, carry: list[str], close: str, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _linked(nodes: DataFrame, own: Column, probes: Column, carry: list[str], close: str, verify: Callable[[DataFrame], DataFrame], bounds: Callable[[DataFrame], DataFrame] | None = None, able: str = "") -> DataFrame:
     """node and component of every node that links to another.
 
     own, probes: arrays of the keys that a node is filed under and that it looks up; close: SQL over u and v, two
-    nodes, and the columns of carry as u_ and v_; verify: of pairs u, v those that link.
+    nodes, and the columns of carry as u_ and v_; verify: of pairs u, v those that link; bounds: of a table of nodes
+    node, share, by which the best of a dense bucket is chosen, and what the SQL able needs, again as u_ and v_, to say
+    whether two of these nodes can link.
     """
     side = lambda df, keys, s, *more: df.select(F.explode(keys).alias("key"), F.col("node").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in (*carry, *more)))
     pair = [F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")]
+    number = lambda comp: cut(nodes.join(comp, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
+    edges = lambda comp: comp.selectExpr("node as u", "component as v")
+
+    def spans_of(filed: DataFrame) -> DataFrame:
+        return filed.groupBy("key").agg(F.min("v_c").alias("lo"), F.max("v_c").alias("hi"), F.count("*").alias("held"))
+
     hubs = side(nodes, own, "v").groupBy("key").agg(F.min(F.struct("v", *(f"v_{c}" for c in carry))).alias("h")).select("key", "h.*")
-    spokes = side(nodes, probes, "u").join(hubs, "key").filter(f"u <> v and {close}")
-    spokes = cut(spokes.select(*pair).distinct())
-    first = cut(components(verify(spokes)))
-    named = cut(nodes.join(first, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component"))
-    filed, asked = side(named, own, "v", "c"), side(named, probes, "u", "c")
-    spans = filed.groupBy("key").agg(F.min("v_c").alias("lo"), F.max("v_c").alias("hi"), F.count("*").alias("held"))
-    mixed = asked.join(spans, "key").filter("lo <> hi or lo <> u_c").drop("lo", "hi")
+    spokes = cut(side(nodes, probes, "u").join(hubs, "key").filter(f"u <> v and {close}").select(*pair).distinct())
+    comp = cut(components(verify(spokes)))
+    nodes = named = number(comp)
+    more: list[str] = []
     rule = f"u <> v and u_c <> v_c and {close}"
+    if bounds:
+        filed = side(named, own, "v", "c")
+        spans = spans_of(filed)
+        usual = spans.agg(F.avg("held")).first()[0] or 0.0
+        dense = cut(spans.filter(f"held >= {max(DENSE, 4 * usual)!r} and lo <> hi").select("key"))
+        if not dense.isEmpty():
+            inside = filed.join(dense, "key")
+            known = cut(bounds(inside.select(F.col("v").alias("node")).distinct()))
+            best = inside.join(known.withColumnRenamed("node", "v"), "v").groupBy("key").agg(F.max(F.struct("share", "v", "v_c", *(f"v_{c}" for c in carry))).alias("h")).select("key", "h.*").drop("share")
+            second = cut(side(named, probes, "u", "c").join(best, "key").filter(rule).select(*pair).distinct())
+            comp = cut(components(verify(second).union(edges(comp))))
+            nodes = nodes.drop("c")
+            named = cut(number(comp).join(known.drop("share"), "node", "left"))
+            more = [c for c in known.columns if c not in ("node", "share")]
+            rule += f" and (u_{more[0]} is null or v_{more[0]} is null or {able})"
+    filed, asked = side(named, own, "v", "c", *more), side(named, probes, "u", "c", *more)
+    spans = spans_of(filed)
+    mixed = asked.join(spans, "key").filter("lo <> hi or lo <> u_c").drop("lo", "hi")
     plain = mixed.filter(F.col("held") <= SLICE).join(filed, "key").filter(rule).select(*pair)
     # a bucket of more rows in slices, which meet all that look it up
     heavy = spans.filter(F.col("held") > SLICE).select("key", F.ceil(F.col("held") / SLICE).cast("int").alias("n"))
@@ -157,7 +185,7 @@ def _linked(nodes: DataFrame, own: Column, probes: Column, carry: list[str], clo
     fanned = mixed.filter(F.col("held") > SLICE).withColumn("s", F.explode(F.sequence(F.lit(0), F.ceil(F.col("held") / SLICE).cast("int") - 1)))
     split = fanned.join(sliced, ["key", "s"]).filter(rule).select(*pair)
     rest = cut(plain.union(split).distinct().join(spokes, ["u", "v"], "left_anti"))
-    return components(verify(rest).union(first.selectExpr("node as u", "component as v")))
+    return components(verify(rest).union(edges(comp)))
 
 
 def _segments(column: Column, widths: list[int]) -> list[Column]:
@@ -220,16 +248,27 @@ class Plan:
         return -(-self.segments // self.each)
 
 
+def _bound(similarity: float, bits: int) -> int:
+    """The distance that fingerprints of so many bits stay within at the similarity, but for SLACK deviations.
+
+    Sets of one size at Jaccard similarity s have the cosine 2s / (1 + s), and a bit differs with the share of the angle.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return min(bits, math.ceil(bits * p + SLACK * math.sqrt(bits * p * (1 - p))))
+
+
+def _distance(a: str, b: str) -> str:
+    """SQL for the distance of two fingerprints, arrays of longs."""
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+
+
 @lru_cache(maxsize=64)
 def plan_for(similarity: float, recall: float, n: int) -> Plan:
     """The plan with the least work for n texts at which a pair at exactly the similarity meets with that chance.
 
-    Sets of one size at Jaccard similarity s have the cosine 2s / (1 + s); a bit's counts are then about normal with
-    that correlation. The chance that a segment meets is counted on draws of such pairs.
+    Counts of a bit are about normal with the sets' cosine as correlation. The chance that a segment meets is counted on draws of such pairs.
     """
     cos = 2 * similarity / (1 + similarity)
-    p = math.acos(cos) / math.pi
-    bound = lambda bits: min(bits, math.ceil(bits * p + SLACK * math.sqrt(bits * p * (1 - p))))
     rng = np.random.default_rng(SEED)
     best = (math.inf, Plan(16, 1, 64, 64))
     for width in (16, 21, 32):
@@ -245,7 +284,7 @@ def plan_for(similarity: float, recall: float, n: int) -> Plan:
         m = math.ceil(math.log(1 - recall) / math.log(1 - hit))
         work = m * (2 + FLIPS + (1 + FLIPS) * n / 2**width / RATIO)
         if work < best[0]:
-            best = (work, Plan(width, m, bound(64), bound(64 * -(-m // (64 // width)))))
+            best = (work, Plan(width, m, _bound(similarity, 64), _bound(similarity, 64 * -(-m // (64 // width)))))
     return best[1]
 
 
@@ -291,26 +330,47 @@ def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_
     def verify(pairs: DataFrame) -> DataFrame:
         return _similar_pairs(texts, groups, pairs, plan, similarity, shingle)
 
+    sketched = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 256):
+            sets = [np.array(x.values, np.int64).view("<u8") for x in b.column(1)]
+            made = [np.packbits(2 * bit_counts(h, SKETCH) > len(h), bitorder="little").view("<i8") for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(sketched.field(1).type), pa.array(made, sketched.field(2).type)], schema=sketched)
+
+    def bounds(some: DataFrame) -> DataFrame:
+        sets = cut(_sets(texts, groups, some, shingle).mapInArrow(sketch, "node long, s array<long>, sketch array<long>"))
+        several = sets.select(F.explode("s").alias("e")).groupBy("e").count().filter("count > 1").select("e")
+        most = sets.select("node", F.explode("s").alias("e")).join(several, "e").groupBy("node").agg(F.count("*").cast("int").alias("most"))
+        return sets.select("node", F.size("s").alias("size"), "sketch").join(most, "node", "left").select("size", "node", F.coalesce("most", F.lit(0)).alias("most"), "sketch", F.expr("coalesce(most, 0) / greatest(size, 1)").alias("share"))
+
+    # sets as similar have this share of both sizes in common, and sketches this near
+    able = f"least(u_most, v_most) >= {similarity / (1 + similarity) - 1e-9!r}D * (u_size + v_size) and {_distance('u_sketch', 'v_sketch')} <= {_bound(similarity, 64 * SKETCH)}"
+
     nodes = cut(groups.select("node", "look", own.alias("own"), F.concat(own, turned).alias("asked")))
-    comp = _linked(nodes, F.col("own"), F.col("asked"), ["look"], f"bit_count(u_look ^ v_look) <= {plan.first}", verify)
+    comp = _linked(nodes, F.col("own"), F.col("asked"), ["look"], f"bit_count(u_look ^ v_look) <= {plan.first}", verify, bounds, able)
     return rows, groups, comp
 
 
-def _similar_pairs(texts: DataFrame, groups: DataFrame, pairs: DataFrame, plan: Plan, similarity: float, shingle: int) -> DataFrame:
-    """Of pairs u, v of nodes those whose whole fingerprints are near and whose whole sets are as similar."""
-    prints = groups.select("node", "fp")
-    bits = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = pairs.join(prints.selectExpr("node as u", "fp as a"), "u").join(prints.selectExpr("node as v", "fp as b"), "v").filter(bits <= plan.distance)
-    near = cut(near.select("u", "v"))
+def _sets(texts: DataFrame, groups: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
+    """node and s, the set of its shingles' hashes, of some nodes."""
     hashed = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(words(t.as_py()), shingle).view("<i8") for t in b.column(1)], hashed.field(1).type)], schema=hashed)
 
-    asked = groups.select("digest", "node").join(near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi")
+    asked = groups.select("digest", "node").join(some, "node", "left_semi")
     one = _with_digest(texts.select("text"), "text", "digest").join(asked, "digest").dropDuplicates(["node"]).select("node", "text")
-    sets = cut(one.mapInArrow(run, "node long, s array<long>"))
+    return one.mapInArrow(run, "node long, s array<long>")
+
+
+def _similar_pairs(texts: DataFrame, groups: DataFrame, pairs: DataFrame, plan: Plan, similarity: float, shingle: int) -> DataFrame:
+    """Of pairs u, v of nodes those whose whole fingerprints are near and whose whole sets are as similar."""
+    prints = groups.select("node", "fp")
+    near = pairs.join(prints.selectExpr("node as u", "fp as a"), "u").join(prints.selectExpr("node as v", "fp as b"), "v").filter(f"{_distance('a', 'b')} <= {plan.distance}")
+    near = cut(near.select("u", "v"))
+    sets = cut(_sets(texts, groups, near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), shingle))
     both = near.join(sets.selectExpr("node as u", "s as a"), "u").join(sets.selectExpr("node as v", "s as b"), "v")
     shared = both.selectExpr("u", "v", "size(a) + size(b) as total", "size(array_intersect(a, b)) as shared")
     return cut(shared.filter(F.expr("shared / (total - shared)") >= F.lit(float(similarity))).select("u", "v"))

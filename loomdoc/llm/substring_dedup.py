@@ -16,7 +16,7 @@ no document meets another.
 from __future__ import annotations
 
 import hashlib
-from array import array
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,40 +37,16 @@ CHUNKS_A_RANGE = 4
 PROBE_BITS = 48
 #: Bits of a window's first hash that are used; fewer in tests, where the second one has to tell windows apart.
 WINDOW_BITS = 64
-_CACHE = 300_000
 
 _rng = np.random.default_rng(20_111)
 #: Odd multipliers, one for each place of a word in a window, for the first hash and for the second.
 _MULT, _MULT2 = _rng.integers(0, 1 << 63, (2, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Words(dict):
-    """Numbers of the words seen, with 128 bits of hash for each."""
-
-    def __init__(self):
-        self.first, self.second = array("Q"), array("Q")
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_128_intdigest(word, 7)
-        self.first.append(h & 0xFFFFFFFFFFFFFFFF)
-        self.second.append(h >> 64)
-        self[word] = n = len(self)
-        return n
-
-
-_seen = _Words()
-
-
 def word_hashes(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The two hashes of every word of every text, in one array each."""
-    global _seen
-    if len(_seen) > _CACHE:
-        _seen = _Words()
-    get = _seen.__getitem__
-    at = np.concatenate([np.zeros(0, np.int64), *(np.fromiter(map(get, w), np.int64, len(w)) for w in texts)])
-    if not len(at):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    return np.frombuffer(_seen.first, np.uint64)[at], np.frombuffer(_seen.second, np.uint64)[at]
+    """Two hashes of every word of every text, in one array each."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, itertools.chain.from_iterable(texts))), "<u8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
