@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomdoc.config import ChunkingConfig
 from loomdoc.functions.text import cap_words, chunk_id, count_words, strip, tail_words, words
+from loomdoc.storage import cut
 
 
 def _merge_groups(counts: Column, cfg: ChunkingConfig) -> Column:
@@ -141,7 +142,16 @@ def chunk_rows(raw: DataFrame, cfg: ChunkingConfig) -> DataFrame:
 
 
 def chunk_documents(pages: DataFrame, sections: DataFrame, cfg: ChunkingConfig) -> DataFrame:
-    """The cascade: sections' chunks; paragraphs where a document's sections have no text; nothing where it has none."""
-    by_section = raw_chunks(merge_sections(sections, cfg), cfg)
-    left = pages.filter(F.col("text").rlike(r"(?U)[^\s\x1c-\x1f]")).join(by_section.select("document_id").distinct(), "document_id", "left_anti")
-    return chunk_rows(by_section.unionByName(raw_chunks(merge_sections(paragraph_sections(left), cfg), cfg)), cfg)
+    """The cascade: sections' chunks; paragraphs where a document's sections have no text; nothing where it has none.
+
+    Sections are written once, as three things come from them: which documents they give text for, the paragraphs of
+    the others, and the chunks, which both go through together. Raw chunks are written before they are numbered.
+    """
+    fields = ("document_id", "section_index", "heading_text", "body_text", "page_start", "page_end", "confidence")
+    found = cut(sections.select(*fields))
+    solid = lambda c: F.col(c).rlike(r"(?U)[^\s\x1c-\x1f]")
+    # documents whose sections are headings alone; a document without any section is one too
+    full = found.filter(solid("body_text")).select("document_id").distinct()
+    left = pages.filter(solid("text")).join(full, "document_id", "left_anti")
+    bodies = found.join(full, "document_id", "left_semi").unionByName(paragraph_sections(left).select(*fields))
+    return chunk_rows(cut(raw_chunks(merge_sections(bodies, cfg), cfg)), cfg)

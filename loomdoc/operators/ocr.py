@@ -1,17 +1,22 @@
-"""Recognised text: a provider's interface, the rule that merges it with a page's own text, and the pass over flagged pages."""
+"""Recognised text: a provider's interface, preparation of images, the rule that merges it with a page's own text, and
+the pass over flagged pages and images."""
 
 from __future__ import annotations
 
+import io
+import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomdoc.config import MIN_NATIVE_CHARS
-from loomdoc.functions.text import needs_ocr, normalize_whitespace, strip
+from loomdoc.functions.text import normalize_whitespace, strip
+
+#: Pages of one file that a task recognises with one copy of its bytes; times by which a page is enlarged.
+PAGES, SCALE = 16, 2.0
 
 
 @dataclass(frozen=True)
@@ -20,6 +25,7 @@ class OcrResult:
     confidence: float = 0.0
     provider_id: str = ""
     error: str | None = None
+    page_number: int = 1
 
     @property
     def word_count(self) -> int:
@@ -37,9 +43,11 @@ class OcrProvider(Protocol):
 
     def read_pdf_page(self, pdf: bytes, page_number: int, language: str = "eng") -> OcrResult: ...
 
+    def read_batch(self, images: list[bytes], language: str = "eng") -> list[OcrResult]: ...
+
 
 class NoProvider:
-    """Stands in where no provider is installed."""
+    """Stands in where no provider is installed; what a provider need not write itself."""
 
     provider_id = "none"
 
@@ -50,7 +58,74 @@ class NoProvider:
         return OcrResult(provider_id=self.provider_id, error="provider unavailable")
 
     def read_pdf_page(self, pdf: bytes, page_number: int, language: str = "eng") -> OcrResult:
-        return OcrResult(provider_id=self.provider_id, error="provider unavailable")
+        """The page drawn as an image, read as one."""
+        return replace(self.read_image(page_image(pdf, page_number), language), page_number=page_number)
+
+    def read_batch(self, images: list[bytes], language: str = "eng") -> list[OcrResult]:
+        """One after another, in order, numbered from 1."""
+        return [replace(self.read_image(x, language), page_number=i) for i, x in enumerate(images, 1)]
+
+
+class CloudProvider(NoProvider):
+    """A place for a remote service: never available, and reading is an error."""
+
+    provider_id = "cloud"
+
+    def read_image(self, image: bytes, language: str = "eng") -> OcrResult:
+        raise NotImplementedError("no remote provider is configured")
+
+
+def page_image(pdf: bytes, page_number: int, scale: float = SCALE) -> bytes:
+    """A page (from 1) drawn at scale as PNG, where PyMuPDF is installed."""
+    import fitz
+
+    with fitz.open(stream=pdf, filetype="pdf") as doc:
+        return doc.load_page(page_number - 1).get_pixmap(matrix=fitz.Matrix(scale, scale), alpha=False).tobytes("png")
+
+
+@dataclass(frozen=True)
+class Preparation:
+    """Steps before recognition, in this order: grey, contrast, median, threshold, turning upright."""
+
+    grey: bool = True
+    contrast: bool = True
+    median_radius: int = 1
+    threshold: int | None = 135
+    upright: bool = False
+
+
+def prepare(img, steps: Preparation = Preparation()):
+    """A Pillow image made ready for recognition."""
+    from PIL import ImageFilter, ImageOps
+
+    img = img.convert("RGB")
+    if steps.grey:
+        img = ImageOps.grayscale(img)
+    if steps.contrast:
+        img = ImageOps.autocontrast(img, cutoff=1)
+    if steps.median_radius > 0:
+        img = img.filter(ImageFilter.MedianFilter(max(3, 2 * steps.median_radius + 1)))
+    if steps.threshold is not None:
+        img = img.convert("L").point(lambda p: 255 if p > steps.threshold else 0)
+    img = img.convert("RGB")
+    return upright(img) if steps.upright else img
+
+
+def turn_of(report: str) -> int:
+    """The angle by which an orientation report says to turn an image."""
+    m = re.search(r"Rotate:\s*(\d+)", report)
+    return int(m[1]) % 360 if m else 0
+
+
+def upright(img):
+    """The image turned as Tesseract's orientation data say; as it is without them."""
+    try:
+        import pytesseract
+
+        angle = turn_of(pytesseract.image_to_osd(img, lang="osd"))
+    except Exception:
+        return img
+    return img.rotate(angle, expand=True, fillcolor="white") if angle else img
 
 
 class TesseractProvider(NoProvider):
@@ -58,6 +133,9 @@ class TesseractProvider(NoProvider):
 
     provider_id = "tesseract"
 
+    def __init__(self, steps: Preparation = Preparation()):
+        self.steps = steps
+
     def is_available(self) -> bool:
         try:
             import pytesseract
@@ -70,18 +148,28 @@ class TesseractProvider(NoProvider):
     def read_image(self, image: bytes, language: str = "eng") -> OcrResult:
         if not self.is_available():
             return OcrResult(provider_id=self.provider_id, error="tesseract is not available")
-        import io
-
         import pytesseract
-        from PIL import Image, ImageFilter, ImageOps
+        from PIL import Image
 
         try:
-            img = Image.open(io.BytesIO(image)).convert("RGB")
+            img = Image.open(io.BytesIO(image))
+            img.load()
         except Exception as e:
             return OcrResult(provider_id=self.provider_id, error=f"decode_failed: {e}")
-        img = ImageOps.autocontrast(ImageOps.grayscale(img), cutoff=1).filter(ImageFilter.MedianFilter(3)).point(lambda p: 255 if p > 135 else 0)
-        text = pytesseract.image_to_string(img, lang=language)
-        return OcrResult(text.strip(), mean_confidence(pytesseract.image_to_data(img, lang=language, output_type=pytesseract.Output.DICT)["conf"]), self.provider_id)
+        try:
+            img = prepare(img, self.steps)
+            text = pytesseract.image_to_string(img, lang=language)
+        except Exception as e:
+            return OcrResult(provider_id=self.provider_id, error=str(e))
+        try:
+            confidence = mean_confidence(pytesseract.image_to_data(img, lang=language, output_type=pytesseract.Output.DICT)["conf"])
+        except Exception:
+            confidence = UNKNOWN_CONFIDENCE
+        return OcrResult(text.strip(), confidence, self.provider_id)
+
+
+# Fixed value: the confidence of text whose words' confidences can't be read.
+UNKNOWN_CONFIDENCE = 0.7
 
 
 def mean_confidence(values) -> float:
@@ -90,6 +178,32 @@ def mean_confidence(values) -> float:
     return min(1.0, max(0.0, sum(found) / len(found) / 100)) if found else 0.5
 
 
+_default: list[Callable[[], OcrProvider]] = [TesseractProvider]
+
+
+def default_provider() -> OcrProvider:
+    """The provider of runs that name none; unavailable where Tesseract isn't installed."""
+    return _default[0]()
+
+
+def set_default_provider(make: Callable[[], OcrProvider]) -> None:
+    _default[0] = make
+
+
+def recognition_available() -> bool:
+    return default_provider().is_available()
+
+
+def read_page(image: bytes, page_number: int = 1, provider: OcrProvider | None = None) -> OcrResult:
+    """An image as a page: an error, or an exception of the provider, is a result without confidence."""
+    p = provider or default_provider()
+    try:
+        r = p.read_image(image)
+    except Exception as e:
+        r = OcrResult(provider_id=p.provider_id, error=str(e))
+    return replace(r, page_number=page_number, confidence=0.0 if r.error else min(1.0, max(0.0, r.confidence)))
+
+
 def merge_text(native: Column, ocr: Column, confidence: Column) -> Column:
     """A struct text, method, confidence from a page's own text and the recognised one."""
     n, o = strip(F.coalesce(native, F.lit(""))), strip(F.coalesce(ocr, F.lit("")))
@@ -102,28 +216,41 @@ def merge_text(native: Column, ocr: Column, confidence: Column) -> Column:
     )
 
 
-def recognise_pages(pages: DataFrame, provider: Callable[[], OcrProvider] = NoProvider, least: int = MIN_NATIVE_CHARS) -> DataFrame:
-    """pages with text, method and confidence after recognition of those with little text.
+def recognise(flagged: DataFrame, files: DataFrame, provider: Callable[[], OcrProvider] = default_provider) -> DataFrame:
+    """document_id, page_number, text, method and confidence of pages that need recognition.
 
-    Needs document_id, page_number, text and content (the file's bytes). Only flagged pages meet the provider, spread
-    over all tasks as one is dear; without one their text stays, at 0.3, or 0.0 if there is none.
+    flagged: document_id, page_number, kind (pdf or image) and text, the page's own; files: document_id and content.
+    A task gets PAGES pages of a file with one copy of its bytes, so a long file is spread and no page carries the file.
+    PDF pages merge with their own text; without a provider it stays, at 0.3, or 0.0 if there is none. Images have no
+    text of their own: they are read or empty. An exception of the provider is a page without recognised text.
     """
-    flagged = pages.withColumn("flagged", needs_ocr(F.col("text"), least))
-    plain = flagged.filter("not flagged").select("document_id", "page_number", "text", F.lit("parse").alias("method"), F.lit(1.0).alias("confidence"))
+    place = F.row_number().over(_in_document()) - 1
+    runs = flagged.withColumn("run", F.floor(place / PAGES)).groupBy("document_id", "kind", "run").agg(F.sort_array(F.collect_list(F.struct("page_number", "text"))).alias("pages"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         p = provider()
         able = p.is_available()
         for b in batches:
-            got = []
-            for content, number in zip(b["content"], b["page_number"], strict=True):
-                try:
-                    got.append(p.read_pdf_page(bytes(content), int(number)) if able else OcrResult(error="provider unavailable"))
-                except Exception as e:  # a page's failure is a value, not a task's
-                    got.append(OcrResult(provider_id=p.provider_id, error=str(e)))
-            yield b[["document_id", "page_number", "text"]].assign(ocr=[r.text for r in got], c=[0.0 if r.error else r.confidence for r in got], able=able)
-
-    seen = flagged.filter("flagged").repartition("document_id", "page_number").select("document_id", "page_number", "text", "content").mapInPandas(read, "document_id string, page_number int, text string, ocr string, c double, able boolean")
-    merged = merge_text(F.col("text"), F.col("ocr"), F.col("c"))
+            for doc, kind, pages, content in zip(b["document_id"], b["kind"], b["pages"], b["content"], strict=True):
+                out = []
+                for page in pages:
+                    number = int(page["page_number"])
+                    try:
+                        r = OcrResult(error="provider unavailable") if not able else p.read_image(bytes(content)) if kind == "image" else p.read_pdf_page(bytes(content), number)
+                    except Exception as e:  # a page's failure is a value, not a task's
+                        r = OcrResult(provider_id=p.provider_id, error=str(e))
+                    out.append((doc, number, kind, page["text"], r.text, 0.0 if r.error else r.confidence, able))
+                yield pd.DataFrame(out, columns=["document_id", "page_number", "kind", "text", "ocr", "c", "able"])
+
+    seen = runs.join(files.select("document_id", "content"), "document_id").repartition("document_id", "run").select("document_id", "kind", "pages", "content").mapInPandas(read, "document_id string, page_number int, kind string, text string, ocr string, c double, able boolean")
+    ocr = normalize_whitespace(F.col("ocr"))
     kept = F.struct(F.col("text"), F.lit("parse").alias("method"), F.when(strip(F.col("text")) != "", 0.3).otherwise(0.0).alias("confidence"))
-    return plain.unionByName(seen.select("document_id", "page_number", F.when(F.col("able"), merged).otherwise(kept).alias("m")).select("document_id", "page_number", "m.*"))
+    image = F.struct(ocr.alias("text"), F.lit("ocr").alias("method"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("c"))).alias("confidence"))
+    found = F.when(F.col("kind") == "image", image).when(F.col("able"), merge_text(F.col("text"), ocr, F.col("c"))).otherwise(kept)
+    return seen.select("document_id", "page_number", found.alias("m")).select("document_id", "page_number", "m.*")
+
+
+def _in_document():
+    from pyspark.sql import Window
+
+    return Window.partitionBy("document_id").orderBy("page_number")

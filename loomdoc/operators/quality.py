@@ -15,12 +15,16 @@ def method_combine(methods: Column) -> Column:
 
 
 def document_summary(pages: DataFrame) -> DataFrame:
-    """A row for each document: method, confidence (mean of its pages'), percent_empty_pages and review flags."""
+    """A row for each document: method, confidence (mean of its pages'), percent_empty_pages and review flags.
+
+    read_pages holds number and confidence of the pages that weren't parsed, for means over chunks' spans.
+    """
     got = pages.groupBy("document_id").agg(
         F.sort_array(F.collect_set("method")).alias("methods"), F.avg("confidence").alias("mean"),
+        F.collect_list(F.when(F.col("method") != "parse", F.struct("page_number", "confidence"))).alias("read_pages"),
         F.count("*").alias("n_pages"), F.count_if(F.length(strip(F.col("text"))) < EMPTY_PAGE_CHARS).alias("n_empty"),
     )
-    got = got.select("document_id", method_combine(F.col("methods")).alias("extracted_method"), F.coalesce("mean", F.lit(0.0)).alias("confidence"), F.round(100.0 * F.col("n_empty") / F.greatest(F.lit(1), F.col("n_pages")), 2).alias("percent_empty_pages"), "n_pages")
+    got = got.select("document_id", method_combine(F.col("methods")).alias("extracted_method"), F.coalesce("mean", F.lit(0.0)).alias("confidence"), F.round(100.0 * F.col("n_empty") / F.greatest(F.lit(1), F.col("n_pages")), 2).alias("percent_empty_pages"), "n_pages", F.array_sort("read_pages").alias("read_pages"))
     return with_review(got)
 
 
@@ -51,12 +55,20 @@ def chunk_score(confidence: Column, section: Column, n_words: Column, min_words:
     return F.round(clamp(base * F.when(n_words < min_words, 0.88).otherwise(1.0)), 4)
 
 
-def with_quality(chunks: DataFrame, docs: DataFrame, pages: DataFrame, min_words: int) -> DataFrame:
-    """chunks with their document's columns, OCR confidence, score and low-quality flag."""
-    joined = chunks.join(docs, "document_id").join(ocr_confidence(chunks, pages), ["document_id", "chunk_index"], "left")
+def span_confidence(read_pages: Column, start: Column, end: Column) -> Column:
+    """As ocr_confidence(), of one chunk and its document's read_pages; null where none is in the span."""
+    inside = F.filter(read_pages, lambda p: (p["page_number"] >= start) & (p["page_number"] <= end))
+    total = F.aggregate(inside, F.lit(0.0), lambda a, p: a + p["confidence"])
+    return F.when(F.size(inside) > 0, F.round(total / F.size(inside), 4))
+
+
+def with_quality(chunks: DataFrame, docs: DataFrame, min_words: int) -> DataFrame:
+    """chunks with their document's columns, OCR confidence, score and low-quality flag; docs: of document_summary()."""
+    joined = chunks.join(docs, "document_id")
     score = chunk_score(F.col("confidence"), F.col("section_detection_confidence"), F.col("chunk_word_count"), min_words)
     low = (F.col("chunk_quality_score") < LOW_CHUNK_SCORE) | F.coalesce(F.col("section_detection_confidence") < LOW_SECTION_CONFIDENCE, F.lit(False))
-    return joined.withColumn("chunk_quality_score", score).withColumn("low_quality_chunk", low).withColumn("ocr_confidence", F.when(F.col("ocr_used"), F.col("ocr_confidence")))
+    read = F.when(F.col("ocr_used"), span_confidence(F.col("read_pages"), F.col("page_start"), F.col("page_end")))
+    return joined.withColumn("chunk_quality_score", score).withColumn("low_quality_chunk", low).withColumn("ocr_confidence", read).drop("read_pages")
 
 
 def job_summary(chunks: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from loomdoc.config import ChunkingConfig, IntakeLimits
 from loomdoc.plans.batch import process
 from loomdoc.sources import files as source
+from loomdoc.storage import shared_dir
 
 LIMIT = 20_000
 
@@ -43,11 +43,13 @@ def per_file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streaming_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of text files that a stream picks up from a folder."""
+    """Chunks of four text files, each with every fourth line, that a stream picks up from a folder."""
     from loomdoc.streaming.ingest import watch
 
-    base = (spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp()}").rstrip("/") + f"/stream-{uuid.uuid4().hex}"
-    spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text").repartition(4).write.text(f"{base}/in")
+    base = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    rows = F.array_sort(F.collect_list(F.struct("item_id", "text")))
+    lines = spark.read.parquet(f"{sf_dir}/benchmark.parquet").groupBy((F.col("item_id") % 4).alias("n")).agg(F.array_join(F.transform(rows, lambda r: r["text"]), "\n").alias("text"))
+    lines.repartitionByRange(4, "n").select("text").write.text(f"{base}/in")
     watch(spark, f"{base}/in", f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.parquet(f"{base}/out/chunks").select("chunk_index", "total_chunks", "chunk_text", "chunk_word_count")
 
@@ -57,10 +59,15 @@ def queries():
 
 
 def oracle_sql():
+    from loomdoc.plans.queries import DEFAULT, _chunk_sql, _norm
+
+    text = "string_agg(text, chr(10) ORDER BY item_id)"
+    lines = _chunk_sql(DEFAULT, f"SELECT CAST(item_id % 4 AS VARCHAR) AS document_id, 'file' AS source_filename, {_norm(text)} AS text FROM benchmark GROUP BY item_id % 4")
     name = "'d' || doc_id || CASE WHEN doc_id % 10 = 3 THEN '.bin' WHEN doc_id % 10 = 7 THEN '.pdf' ELSE '.txt' END"
     return {
         "csv_flatten": "SELECT 'r' || n_regionkey || '.csv' AS source_filename, 1 AS page_number, 'key name' || chr(10) || string_agg(n_nationkey || ' ' || n_name, chr(10) ORDER BY n_nationkey) AS text, 'parse' AS method FROM nation GROUP BY n_regionkey",
-        "per_file_outcomes": f"""SELECT n AS source_filename, sha256(text || '|' || n) AS document_id, stage IS NULL AS success, stage AS failure_stage,
+        "streaming_ingest": f"WITH RECURSIVE {lines} SELECT chunk_index, total_chunks, chunk_text, chunk_word_count FROM chunks",
+        "per_file_outcomes": f"""SELECT n AS source_filename, CASE WHEN stage = 'intake' THEN NULL ELSE sha256(text || '|' || n) END AS document_id, stage IS NULL AS success, stage AS failure_stage,
   CASE WHEN stage = 'intake' THEN 'File too large (' || strlen(text) || ' bytes); max {LIMIT} bytes' WHEN k = 3 THEN 'Unsupported file type (kind=''unknown''): /in/' || n WHEN stage = 'extract' THEN 'PDF can''t be read: no header or no objects' END AS error_message
 FROM (SELECT text, {name} AS n, doc_id % 10 AS k, CASE WHEN strlen(text) > {LIMIT} THEN 'intake' WHEN doc_id % 10 IN (3, 7) THEN 'extract' END AS stage FROM documents)""",
     }

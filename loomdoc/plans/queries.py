@@ -127,10 +127,10 @@ sections AS (
   FROM gathered WHERE strategy <> 'text_heuristic' OR heading_text IS NOT NULL OR body_text <> '')"""
 
 
-def _merged_sql(c: ChunkingConfig) -> str:
+def _merged_sql(c: ChunkingConfig, before: str = _SECTIONS, bodies: str = "sections") -> str:
     fit = f"(f.held < {c.min_words} OR s.n < {c.min_words}) AND f.held + s.n <= {c.max_words}"
-    return f"""{_SECTIONS},
-counted AS (SELECT *, len({_words('body_text')}) AS n FROM sections),
+    return f"""{before},
+counted AS (SELECT *, len({_words('body_text')}) AS n FROM {bodies}),
 folded AS (
   SELECT document_id, section_index, 0 AS grp, n AS held FROM counted WHERE section_index = 0
   UNION ALL SELECT s.document_id, s.section_index, CASE WHEN {fit} THEN f.grp ELSE f.grp + 1 END, CASE WHEN {fit} THEN f.held + s.n ELSE s.n END
@@ -199,10 +199,12 @@ def section_number(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", title.alias("title")).withColumn("section_number", T.section_number(F.col("title")))
 
 
-@_query(f"SELECT doc_id, CAST(len(regexp_extract_all({_strip('text')}, '[.!?]+\\s+\\S')) + 1 AS BIGINT) AS n_sentences FROM documents WHERE {_strip('text')} <> '' AND NOT regexp_matches(text, '[.!?]\\s+[.!?]')")
+_SENTENCES = f"list_filter(list_transform(string_split(regexp_replace({_strip('text')}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: {_strip('x')}), lambda x: x <> '')"
+
+
+@_query(f"SELECT doc_id, CAST(i - 1 AS INTEGER) AS place, s[i] AS sentence FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents))")
 def split_sentences(spark, sf_dir):
-    t = F.col("text")
-    return _table(spark, sf_dir, "documents").filter((T.strip(t) != "") & ~t.rlike(r"[.!?]\s+[.!?]")).select("doc_id", F.size(T.split_sentences(t)).cast("long").alias("n_sentences"))
+    return _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.split_sentences(F.col("text"))).alias("place", "sentence"))
 
 
 # Recognised text ----------------------------------------------------------------------------------------------
@@ -285,12 +287,11 @@ def merge_adjacent_sections(spark, sf_dir):
 
 def _window_query(c: ChunkingConfig):
     sql = f"""WITH RECURSIVE long_texts AS (SELECT doc_id AS key, {_words('text')} AS w FROM documents WHERE len({_words('text')}) > {c.max_words}), {_windows_sql(c)}
-SELECT key AS doc_id, CAST(part AS INTEGER) AS part, array_to_string(w[a + 1:b], ' ') AS text FROM parts JOIN ended USING (key)"""
+SELECT key AS doc_id, CAST(part AS INTEGER) AS part, array_to_string(w[a + 1:b], ' ') AS text FROM parts JOIN ended USING (key)
+UNION ALL SELECT doc_id, 0, {_strip('text')} FROM documents WHERE len({_words('text')}) BETWEEN 1 AND {c.max_words}"""
 
     def run(spark, sf_dir):
-        t = F.col("text")
-        long = _table(spark, sf_dir, "documents").filter(T.count_words(t) > c.max_words)
-        return long.select("doc_id", F.posexplode(chunking.word_windows(t, c)).alias("part", "text"))
+        return _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.word_windows(F.col("text"), c)).alias("part", "text"))
 
     return run, sql
 
@@ -299,30 +300,29 @@ _QUERIES["word_window_split"], _SQL["word_window_split"] = _window_query(SMALL)
 _QUERIES["word_window_split_default"], _SQL["word_window_split_default"] = _window_query(DEFAULT)
 
 
-def _pack_sql(c: ChunkingConfig) -> str:
+def _split_sql(c: ChunkingConfig) -> str:
+    """Table pieces (key, part, text) of table src (key, text): as it is, packed paragraphs, windows of long paragraphs."""
     fits = f"f.held + p.n + (CASE WHEN f.open THEN 1 ELSE 0 END) <= {c.max_words}"
     full = f"({fits}) AND NOT (f.held + p.n <= {c.target_words_high} OR f.held < {c.min_words})"
     over = f"p.n > {c.max_words}"
     here = f"CASE WHEN {over} OR NOT ({fits}) THEN f.grp + (CASE WHEN f.open THEN 1 ELSE 0 END) ELSE f.grp END"
     closed = f"({over} OR ({full}))"
-    return f"""WITH RECURSIVE p0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS para, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
-p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS rn, {_strip('para')} AS para, len({_words('para')}) AS n FROM p0 WHERE {_strip('para')} <> ''),
-f AS (SELECT doc_id, CAST(0 AS BIGINT) AS rn, 0 AS here, 0 AS grp, CAST(0 AS BIGINT) AS held, false AS open FROM (SELECT DISTINCT doc_id FROM p)
-  UNION ALL SELECT p.doc_id, p.rn, {here}, CASE WHEN {closed} THEN {here} + 1 ELSE {here} END, CASE WHEN {closed} THEN 0 WHEN {fits} THEN f.held + p.n ELSE p.n END, NOT {closed} FROM f JOIN p ON p.doc_id = f.doc_id AND p.rn = f.rn + 1),
-total AS (SELECT doc_id FROM p GROUP BY 1 HAVING sum(n) > {c.max_words} AND count(*) > 1 AND max(n) <= {c.max_words})
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY here) - 1 AS INTEGER) AS part, string_agg(para, chr(10) || chr(10) ORDER BY f.rn) AS text FROM f JOIN p USING (doc_id, rn) JOIN total USING (doc_id) GROUP BY doc_id, here"""
-
-
-@_query(_pack_sql(SMALL))
-def paragraph_pack(spark, sf_dir):
-    """Lines as paragraphs; documents without a paragraph over the limit."""
-    paras = F.filter(F.transform(F.split("text", "\n", -1), T.strip), lambda p: p != "")
-    docs = _table(spark, sf_dir, "documents").select("doc_id", paras.alias("p")).withColumn("n", F.transform("p", T.count_words))
-    able = docs.filter((F.aggregate("n", F.lit(0), lambda a, x: a + x) > SMALL.max_words) & (F.size("p") > 1) & (F.array_max("n") <= SMALL.max_words))
-    return able.select("doc_id", F.posexplode(chunking.split_oversized(F.array_join("p", "\n\n"), SMALL)).alias("part", "text"))
+    return f"""p0 AS (SELECT key, unnest(l) AS para, unnest(range(len(l))) AS i FROM (SELECT key, regexp_split_to_array(text, '\\n\\s*\\n') AS l FROM src)),
+p AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY i) AS rn, {_strip('para')} AS para, len({_words('para')}) AS n FROM p0 WHERE {_strip('para')} <> ''),
+f AS (SELECT key, CAST(0 AS BIGINT) AS rn, 0 AS here, 0 AS grp, CAST(0 AS BIGINT) AS held, false AS open FROM (SELECT DISTINCT key FROM p)
+  UNION ALL SELECT p.key, p.rn, {here}, CASE WHEN {closed} THEN {here} + 1 ELSE {here} END, CASE WHEN {closed} THEN 0 WHEN {fits} THEN f.held + p.n ELSE p.n END, NOT {closed} FROM f JOIN p ON p.key = f.key AND p.rn = f.rn + 1),
+total AS (SELECT key, sum(n) AS words FROM p GROUP BY 1),
+packed AS (SELECT key AS whole, here, string_agg(para, chr(10) || chr(10) ORDER BY f.rn) AS text, count(*) AS members, max(n) AS n FROM f JOIN p USING (key, rn) JOIN total USING (key) WHERE words > {c.max_words} GROUP BY 1, 2),
+long_texts AS (SELECT struct_pack(whole := whole, here := here) AS key, {_words('text')} AS w FROM packed WHERE members = 1 AND n > {c.max_words}),
+{_windows_sql(c)},
+cuts AS (SELECT key.whole AS key, key.here AS here, part AS sub, array_to_string(w[a + 1:b], ' ') AS text FROM parts JOIN ended USING (key)
+  UNION ALL SELECT whole, here, 0, text FROM packed WHERE NOT (members = 1 AND n > {c.max_words})
+  UNION ALL SELECT key, 0, 0, {_strip('text')} FROM src JOIN total USING (key) WHERE words <= {c.max_words}),
+pieces AS (SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY here, sub) - 1 AS INTEGER) AS part, text FROM cuts)"""
 
 
-@_query()
+@_query(f"""WITH RECURSIVE one AS (SELECT doc_id, unnest(l) AS para, unnest(range(len(l))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+src AS (SELECT doc_id AS key, string_agg({_strip('para')}, chr(10) || chr(10) ORDER BY i) AS text FROM one WHERE {_strip('para')} <> '' GROUP BY 1), {_split_sql(SMALL)} SELECT key AS doc_id, part, text FROM pieces""")
 def split_oversized(spark, sf_dir):
     """Lines as paragraphs, every document: as it is, packed, or with windows of the words of paragraphs over the limit."""
     paras = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), T.strip), lambda p: p != "")
@@ -335,24 +335,32 @@ def paragraph_fallback(spark, sf_dir):
     return chunking.paragraph_sections(pages).select("document_id", "section_index", "body_text")
 
 
-def _chunk_sql(c: ChunkingConfig) -> str:
-    """Chunks of one-page documents without headings: windows, overlap, numbers."""
-    return f"""doc AS (SELECT sha256(text || '|' || 'doc_' || doc_id || '.txt') AS document_id, 'doc_' || doc_id || '.txt' AS source_filename, {_norm('text')} AS text FROM documents),
+_DOC = f"SELECT sha256(text || '|' || 'doc_' || doc_id || '.txt') AS document_id, 'doc_' || doc_id || '.txt' AS source_filename, {_norm('text')} AS text FROM documents"
+
+
+def _led_sql(c: ChunkingConfig, keep: str = "") -> str:
+    """Table led (document_id, part, chunk_text, columns of keep) of table raw, whose parts are in order."""
+    return f"""lagged AS (SELECT *, {_words('text')} AS w, lag({_words('text')}) OVER (PARTITION BY document_id ORDER BY part) AS before, lag(text) OVER (PARTITION BY document_id ORDER BY part) AS before_text FROM raw),
+led AS (SELECT document_id, part{keep}, CASE WHEN before IS NULL THEN text ELSE CASE WHEN len(before) > {c.overlap} THEN array_to_string(before[-{c.overlap}:], ' ') ELSE before_text END || ' ' || array_to_string(w[:{c.max_words} - least(len(before), {c.overlap})], ' ') END AS chunk_text FROM lagged)"""
+
+
+def _chunk_sql(c: ChunkingConfig, doc: str = _DOC) -> str:
+    """Chunks of one-page documents without headings: windows, overlap, numbers. Their one section is at 0.40."""
+    return f"""doc AS ({doc}),
 long_texts AS (SELECT document_id AS key, {_words('text')} AS w FROM doc WHERE len({_words('text')}) > {c.max_words}),
 {_windows_sql(c)},
 raw AS (SELECT key AS document_id, part, array_to_string(w[a + 1:b], ' ') AS text FROM parts JOIN ended USING (key)
   UNION ALL SELECT document_id, 0, text FROM doc WHERE len({_words('text')}) <= {c.max_words} AND text <> ''),
-lagged AS (SELECT *, {_words('text')} AS w, lag({_words('text')}) OVER (PARTITION BY document_id ORDER BY part) AS before, lag(text) OVER (PARTITION BY document_id ORDER BY part) AS before_text FROM raw),
-led AS (SELECT document_id, part, CASE WHEN before IS NULL THEN text ELSE CASE WHEN len(before) > {c.overlap} THEN array_to_string(before[-{c.overlap}:], ' ') ELSE before_text END || ' ' || array_to_string(w[:{c.max_words} - least(len(before), {c.overlap})], ' ') END AS chunk_text FROM lagged),
+{_led_sql(c)},
 chunks AS (SELECT document_id, source_filename, CAST(row_number() OVER (PARTITION BY document_id ORDER BY part) AS INTEGER) AS chunk_index, CAST(count(*) OVER (PARTITION BY document_id) AS INTEGER) AS total_chunks, chunk_text, CAST(len({_words('chunk_text')}) AS INTEGER) AS chunk_word_count FROM led JOIN doc USING (document_id)),
-scored_chunks AS (SELECT c.*, document_id || '-chunk-' || lpad(CAST(chunk_index AS VARCHAR), 4, '0') AS chunk_id, round((0.65 + 0.35 * 0.40) * CASE WHEN chunk_word_count < {c.min_words} THEN 0.88 ELSE 1.0 END, 4) AS chunk_quality_score, length({_strip('text')}) < 40 AS document_needs_review FROM chunks c JOIN (SELECT document_id, text FROM doc) USING (document_id))"""
+scored_chunks AS (SELECT c.*, document_id || '-chunk-' || lpad(CAST(chunk_index AS VARCHAR), 4, '0') AS chunk_id, round((0.65 + 0.35 * 0.40) * CASE WHEN chunk_word_count < {c.min_words} THEN 0.88 ELSE 1.0 END, 4) AS chunk_quality_score, length({_strip('text')}) < 40 AS document_needs_review, chunk_quality_score < 0.45 OR 0.40 < 0.42 AS low_quality_chunk FROM chunks c JOIN (SELECT document_id, text FROM doc) USING (document_id))"""
 
 
 def _chunked(spark, sf_dir, c: ChunkingConfig) -> DataFrame:
     """The whole plan over one-page documents: sections, chunks, quality."""
     docs, pages = _raw(spark, sf_dir), _pages(spark, sf_dir)
     chunks = chunking.chunk_documents(pages, sections.detect_sections(pages), c)
-    out = quality.with_quality(chunks, quality.document_summary(pages), pages, c.min_words)
+    out = quality.with_quality(chunks, quality.document_summary(pages), c.min_words)
     return out.join(docs.select("document_id", "source_filename").distinct(), "document_id").withColumn("document_type", F.lit("txt"))
 
 
@@ -360,7 +368,7 @@ _CHUNK_COLUMNS = ("document_id", "chunk_id", "chunk_index", "total_chunks", "chu
 
 
 def _chunk_query(c: ChunkingConfig):
-    sql = f"WITH RECURSIVE {_chunk_sql(c)} SELECT document_id, chunk_id, chunk_index, total_chunks, chunk_text, chunk_word_count, CAST(chunk_quality_score AS DOUBLE) AS chunk_quality_score, true AS low_quality_chunk, document_needs_review FROM scored_chunks"
+    sql = f"WITH RECURSIVE {_chunk_sql(c)} SELECT document_id, chunk_id, chunk_index, total_chunks, chunk_text, chunk_word_count, CAST(chunk_quality_score AS DOUBLE) AS chunk_quality_score, low_quality_chunk, document_needs_review FROM scored_chunks"
     return lambda spark, sf_dir: _chunked(spark, sf_dir, c).select(*_CHUNK_COLUMNS), sql
 
 
@@ -373,12 +381,12 @@ def chunk_validation(spark, sf_dir):
     return _chunked(spark, sf_dir, SMALL).select("document_id", "chunk_index", "issue")
 
 
-@_query(f"WITH RECURSIVE {_chunk_sql(DEFAULT)} SELECT count(*) AS chunks_total, count(*) AS low_quality_chunks, count(DISTINCT document_id) FILTER (document_needs_review) AS documents_needing_review, CAST(round(avg(chunk_quality_score), 4) AS DOUBLE) AS mean_chunk_quality_score, CAST(1.0 AS DOUBLE) AS fraction_low_quality FROM scored_chunks")
+@_query(f"WITH RECURSIVE {_chunk_sql(DEFAULT)} SELECT count(*) AS chunks_total, count(*) FILTER (low_quality_chunk) AS low_quality_chunks, count(DISTINCT document_id) FILTER (document_needs_review) AS documents_needing_review, CAST(round(avg(chunk_quality_score), 4) AS DOUBLE) AS mean_chunk_quality_score, round(count(*) FILTER (low_quality_chunk) / count(*), 4) AS fraction_low_quality FROM scored_chunks")
 def job_quality_summary(spark, sf_dir):
     return quality.job_summary(_chunked(spark, sf_dir, DEFAULT))
 
 
-@_query(f"WITH RECURSIVE {_chunk_sql(DEFAULT)} SELECT document_id, source_filename, 'txt' AS original_file_type, chunk_id, 1 AS page_start, 1 AS page_end, CAST(NULL AS VARCHAR) AS section_title, 'unknown' AS document_type, 'parse' AS extraction_method, CAST(1.0 AS DOUBLE) AS extraction_confidence, 'native' AS extraction_mode, false AS ocr_used, CAST(NULL AS DOUBLE) AS ocr_confidence, CAST(CASE WHEN document_needs_review THEN 100.0 ELSE 0.0 END AS DOUBLE) AS percent_empty_pages, CAST(0.4 AS DOUBLE) AS section_detection_confidence, CAST(chunk_quality_score AS DOUBLE) AS chunk_quality_score, true AS low_quality_chunk, document_needs_review, chunk_text FROM scored_chunks")
+@_query(f"WITH RECURSIVE {_chunk_sql(DEFAULT)} SELECT document_id, source_filename, 'txt' AS original_file_type, chunk_id, 1 AS page_start, 1 AS page_end, CAST(NULL AS VARCHAR) AS section_title, 'unknown' AS document_type, 'parse' AS extraction_method, CAST(1.0 AS DOUBLE) AS extraction_confidence, 'native' AS extraction_mode, false AS ocr_used, CAST(NULL AS DOUBLE) AS ocr_confidence, CAST(CASE WHEN document_needs_review THEN 100.0 ELSE 0.0 END AS DOUBLE) AS percent_empty_pages, CAST(0.4 AS DOUBLE) AS section_detection_confidence, CAST(chunk_quality_score AS DOUBLE) AS chunk_quality_score, low_quality_chunk, document_needs_review, chunk_text FROM scored_chunks")
 def ingestion_export(spark, sf_dir):
     return export.ingestion(_chunked(spark, sf_dir, DEFAULT)).drop("processing_timestamp")
 
@@ -388,9 +396,73 @@ def master_export(spark, sf_dir):
     return export.master(_chunked(spark, sf_dir, DEFAULT))
 
 
-@_query()
+_PORTAL_BYTES = 1024
+# the header's bytes: its fixed words, the chunk's id, the file's name; those of a split file in two parts, and of any
+_HEAD = "'# chunk text export (UTF-8)' || chr(10) || '# chunk_id: ' || chunk_id || chr(10) || '# source: ' || source_filename || chr(10) || '# pages: 1-1' || chr(10)"
+
+
+@_query(f"""WITH RECURSIVE {_chunk_sql(DEFAULT)},
+plain AS (SELECT source_filename, document_id, chunk_index, chunk_id, {_HEAD} AS head, regexp_replace(regexp_replace(chunk_text, '[^\\x00-\\x7f]', '?', 'g'), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g') AS t FROM scored_chunks),
+sized AS (SELECT *, greatest(least(256, {_PORTAL_BYTES} - strlen(head || '# split_part: 1000000 of 1000000' || chr(10))), {_PORTAL_BYTES} - strlen(head || '# split_part: 1 of 2' || chr(10)) - 64) AS body FROM plain),
+counted AS (SELECT *, greatest(1, CAST(ceil(strlen(t) / body) AS INTEGER)) AS parts, row_number() OVER (ORDER BY source_filename, document_id, chunk_index) AS seq FROM sized),
+filed AS (SELECT *, unnest(range(1, parts + 1)) AS part FROM counted)
+SELECT row_number() OVER (ORDER BY seq, part) - 1 AS file_index, chunk_id, CAST(part AS INTEGER) AS part, parts,
+  printf('%05d_%s_p1-1_c%04d', row_number() OVER (ORDER BY seq, part) - 1, regexp_replace(source_filename, '\\.txt$', ''), seq) || CASE WHEN parts > 1 THEN printf('_part%02dof%02d', part, parts) ELSE '' END || '.txt' AS name,
+  head || CASE WHEN parts > 1 THEN '# split_part: ' || part || ' of ' || parts || chr(10) ELSE '' END || substring(t, CAST((part - 1) * body + 1 AS BIGINT), body) AS body FROM filed""")
 def portal_txt_parts(spark, sf_dir):
-    return export.portal_files(_chunked(spark, sf_dir, DEFAULT), most=4096)
+    """Texts in ASCII, so that SQL can count bytes by characters."""
+    chunks = _chunked(spark, sf_dir, DEFAULT)
+    return export.portal_files(chunks.withColumn("chunk_text", F.regexp_replace("chunk_text", r"[^\x00-\x7f]", "?")), most=_PORTAL_BYTES)
+
+
+# Whole documents with headings --------------------------------------------------------------------------------
+
+def _headings_only(spark, sf_dir) -> DataFrame:
+    """The structured pages; of every 25th document the pages hold headings and blank lines alone."""
+    pages = _structured(spark, sf_dir)
+    n = F.regexp_extract("document_id", r"(\d+)", 1).cast("long")
+    bare = F.concat(F.lit("PART "), F.col("page_number"), F.lit(" - GENERAL\n\nARTICLE 5\n\nSECTION 09 65 00 FLOORING"))
+    k = (n + F.col("page_number")) % 3
+    return pages.withColumns({"text": F.when(n % 25 == 7, bare).otherwise(F.col("text")), "method": F.when(k == 0, "parse").when(k == 1, "ocr").otherwise("hybrid"), "confidence": F.when(k == 0, 1.0).otherwise(0.5 + (n % 45) / 100.0)})
+
+
+_BARE = _STRUCTURED.replace("lines1 AS (", "lines2 AS (", 1) + """,
+lines1 AS (
+  SELECT document_id, i, page_number, line FROM lines2 WHERE CAST(substring(document_id, 5) AS BIGINT) % 25 <> 7
+  UNION ALL SELECT document_id, unnest([0, 1, 2, 3, 4]) AS i, page_number, unnest(['PART ' || page_number || ' - GENERAL', '', 'ARTICLE 5', '', 'SECTION 09 65 00 FLOORING']) AS line
+  FROM (SELECT DISTINCT document_id, page_number FROM lines2 WHERE CAST(substring(document_id, 5) AS BIGINT) % 25 = 7))"""
+
+_CASCADE = f"""{_SECTIONS.replace(_STRUCTURED, _BARE)},
+page AS (SELECT document_id, page_number, string_agg(line, chr(10) ORDER BY i) AS text, CAST(substring(document_id, 5) AS BIGINT) AS d FROM lines1 GROUP BY 1, 2),
+read AS (SELECT document_id, page_number, text, CASE (d + page_number) % 3 WHEN 0 THEN 'parse' WHEN 1 THEN 'ocr' ELSE 'hybrid' END AS method, CAST(CASE (d + page_number) % 3 WHEN 0 THEN 1.0 ELSE 0.5 + (d % 45) / 100.0 END AS DOUBLE) AS confidence FROM page),
+solid AS (SELECT DISTINCT document_id FROM sections WHERE {_strip('body_text')} <> ''),
+para0 AS (SELECT document_id, page_number, unnest(l) AS para, unnest(range(len(l))) AS i FROM (SELECT document_id, page_number, regexp_split_to_array(text, '\\n\\s*\\n') AS l FROM page ANTI JOIN solid USING (document_id))),
+bodies AS (
+  SELECT document_id, section_index, heading_text, body_text, page_start, page_end, confidence FROM sections SEMI JOIN solid USING (document_id)
+  UNION ALL SELECT document_id, row_number() OVER (PARTITION BY document_id ORDER BY page_number, i) - 1, NULL, {_strip('para')}, page_number, page_number, NULL FROM para0 WHERE {_strip('para')} <> '')"""
+
+
+@_query(f"""WITH RECURSIVE {_merged_sql(SMALL, _CASCADE, "bodies")},
+src AS (SELECT struct_pack(d := document_id, g := group_id) AS key, text FROM merged), {_split_sql(SMALL)},
+raw AS (SELECT document_id, row_number() OVER (PARTITION BY document_id ORDER BY group_id, part) AS part, title, pieces.text, page_start, page_end, confidence FROM pieces JOIN merged ON key.d = document_id AND key.g = group_id),
+{_led_sql(SMALL, ", title, page_start, page_end, confidence")},
+summed AS (SELECT document_id, CASE WHEN count(DISTINCT method) = 1 THEN min(method) ELSE 'hybrid' END AS extracted_method, avg(confidence) AS mean, round(100.0 * count(*) FILTER (length({_strip('text')}) < 40) / count(*), 2) AS percent_empty_pages FROM read GROUP BY 1),
+chunks AS (
+  SELECT l.document_id, CAST(part AS INTEGER) AS chunk_index, CAST(count(*) OVER (PARTITION BY l.document_id) AS INTEGER) AS total_chunks, title AS section_title, chunk_text, CAST(len({_words('chunk_text')}) AS INTEGER) AS chunk_word_count, page_start, page_end,
+    l.confidence AS section, extracted_method, percent_empty_pages, mean, extracted_method IN ('ocr', 'hybrid') AS ocr_used,
+    (SELECT round(avg(r.confidence), 4) FROM read r WHERE r.document_id = l.document_id AND r.page_number BETWEEN l.page_start AND l.page_end AND r.method <> 'parse') AS seen
+  FROM led l JOIN summed s ON s.document_id = l.document_id),
+rated AS (SELECT *, round(least(1.0, greatest(0.0, mean * CASE WHEN section IS NULL THEN 0.9 ELSE 0.65 + 0.35 * section END * CASE WHEN chunk_word_count < {SMALL.min_words} THEN 0.88 ELSE 1.0 END)), 4) AS score FROM chunks)
+SELECT document_id, chunk_index, total_chunks, section_title, chunk_text, chunk_word_count, page_start, page_end, round(section, 6) AS section_detection_confidence, extracted_method, round(mean, 6) AS confidence, CAST(percent_empty_pages AS DOUBLE) AS percent_empty_pages,
+  CASE WHEN ocr_used THEN seen END AS ocr_confidence, CAST(score AS DOUBLE) AS chunk_quality_score, score < 0.45 OR coalesce(section < 0.42, false) AS low_quality_chunk,
+  mean < 0.72 OR percent_empty_pages >= 18 OR (ocr_used AND mean < 0.65) AS document_needs_review FROM rated""")
+def structured_chunks(spark, sf_dir):
+    """Documents of many pages with headings, read in different ways, through the whole cascade to quality columns."""
+    pages = _headings_only(spark, sf_dir)
+    chunks = chunking.chunk_documents(pages, sections.detect_sections(pages), SMALL)
+    out = quality.with_quality(chunks, quality.document_summary(pages), SMALL.min_words)
+    columns = ("document_id", "chunk_index", "total_chunks", "section_title", "chunk_text", "chunk_word_count", "page_start", "page_end", "extracted_method", "percent_empty_pages", "ocr_confidence", "low_quality_chunk", "document_needs_review")
+    return out.select(*columns, F.round("section_detection_confidence", 6).alias("section_detection_confidence"), F.round("confidence", 6).alias("confidence"), "chunk_quality_score")
 
 
 # Classes ------------------------------------------------------------------------------------------------------
@@ -463,9 +535,23 @@ def classify_documents(spark, sf_dir):
     return classify.classify(_class_docs(spark, sf_dir)).select("doc_id", "category", "confidence")
 
 
-@_query()
+def _evidence_sql() -> str:
+    """A row for each rule that speaks, in the order of the rules."""
+    n = lambda p: f"(length(lower(text)) - length(replace(lower(text), '{p}', ''))) / {len(p)}"
+    found = [(f"'filename:{p}'", c, f"CASE WHEN contains(lower(source_filename), '{p}') THEN {w} ELSE 0.0 END") for c, hints in classify.FILENAME_HINTS.items() for p, w in hints.items()]
+    found += [(f"'keyword:{c}:{p[:24]}'", c, f"least(4.0, 2.0 * ln(1 + {n(p)}))") for c, phrases in classify.KEYWORDS.items() for p in phrases]
+    found += [("'structure:spec_headings'", "specification", "f_spec"), ("'structure:short_transmittal'", "transmittal", "f_trans")]
+    return " UNION ALL ".join(f"SELECT doc_id, {i} AS i, {rule} AS rule_id, '{c}' AS category, CAST({w} AS DOUBLE) AS weight FROM structure WHERE {_strip('text')} <> ''" for i, (rule, c, w) in enumerate(found))
+
+
+@_query(f"""WITH {_FORM}, totals AS (SELECT doc_id, text, {_TOTALS} FROM structure), long AS ({_LONG}),
+top AS (SELECT doc_id, max(score) FILTER (r = 1) AS b, max(score) FILTER (r = 2) AS s FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, place) AS r FROM long) GROUP BY 1),
+rules AS ({_evidence_sql()} UNION ALL SELECT doc_id, 1000000, 'meta:mixed_signals', 'mixed_package', b FROM top JOIN totals USING (doc_id) WHERE s >= 0.55 * b AND b > 3 AND {_strip('text')} <> ''),
+placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, i) AS place FROM rules WHERE weight > 0)
+SELECT doc_id, CAST(place - 1 AS INTEGER) AS place, rule_id, category, round(weight, 6) AS weight FROM placed WHERE place <= 25""")
 def classification_evidence(spark, sf_dir):
-    return classify.classify(_class_docs(spark, sf_dir)).select("doc_id", "evidence", "scores")
+    found = classify.classify(_class_docs(spark, sf_dir)).select("doc_id", F.posexplode("evidence").alias("place", "e"))
+    return found.select("doc_id", "place", "e.rule_id", "e.category", F.round("e.weight", 6).alias("weight"))
 
 
 @_query(f"""WITH RECURSIVE {_chunk_sql(SMALL)} SELECT 'page_span' AS rule, CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'digest', 0 UNION ALL SELECT 'score', 0 UNION ALL SELECT 'title', 0

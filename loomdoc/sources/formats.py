@@ -8,6 +8,7 @@ import re
 import zipfile
 import zlib
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 from loomdoc.config import MAX_TABLE_ROWS
@@ -42,7 +43,46 @@ def _column(ref: str) -> int:
     return n - 1
 
 
-def _sheet_rows(z: zipfile.ZipFile, name: str, shared: list[str]) -> Iterator[list[str]]:
+# Numbers of built-in formats that show dates, times or spans of time.
+_DATES, _SPANS = {*range(14, 23), 45, 47}, {46}
+
+
+def _styles(z: zipfile.ZipFile) -> list[str]:
+    """For each cell style whether it shows a date, a span of time or a number: date, span or an empty text."""
+    if "xl/styles.xml" not in z.namelist():
+        return []
+    root = ElementTree.fromstring(z.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in root.iter(f"{_S}numFmt")}
+
+    def shows(n: int) -> str:
+        if n not in own:
+            return "span" if n in _SPANS else "date" if n in _DATES else ""
+        code = re.sub(r'"[^"]*"|\\.|_.|\*.', "", own[n].split(";")[0])
+        if re.search(r"\[(h+|m+|s+)\]", code, re.I):
+            return "span"
+        return "date" if re.search("[dmhys]", re.sub(r"\[[^\]]*\]", "", code).replace("General", ""), re.I) else ""
+
+    xfs = root.find(f"{_S}cellXfs")
+    return [shows(int(x.get("numFmtId") or 0)) for x in xfs] if xfs is not None else []
+
+
+def _number(raw: str, shows: str, epoch: datetime) -> str:
+    """A number as Python prints it: whole, with a fraction, or the date, time or span that its format shows."""
+    value = float(raw) if set(raw) & set(".eE") else int(raw)
+    if not shows:
+        return str(value)
+    days, part = divmod(value, 1)
+    past = timedelta(milliseconds=round(part * 86_400_000))
+    if shows == "span":
+        return str(timedelta(days=days) + past)
+    if 0 <= value < 1 and not past.days:
+        return str((datetime.min + past).time())
+    if 0 < value < 60 and epoch.year == 1899:  # the format's calendar has a 29th of February 1900
+        days += 1
+    return str(epoch + timedelta(days=days) + past)
+
+
+def _sheet_rows(z: zipfile.ZipFile, name: str, shared: list[str], styles: list[str], epoch: datetime) -> Iterator[list[str]]:
     """Rows of a sheet, read as a stream; absent cells are empty, cached values stand for formulas."""
     with z.open(name) as f:
         for _, row in ElementTree.iterparse(f):
@@ -51,7 +91,7 @@ def _sheet_rows(z: zipfile.ZipFile, name: str, shared: list[str]) -> Iterator[li
             cells: list[str] = []
             for c in row.iter(f"{_S}c"):
                 at = _column(c.get("r", "")) if c.get("r") else len(cells)
-                kind, v = c.get("t"), c.find(f"{_S}v")
+                kind, v, style = c.get("t"), c.find(f"{_S}v"), int(c.get("s") or 0)
                 if kind == "inlineStr":
                     value = "".join(t.text or "" for t in c.iter(f"{_S}t"))
                 elif v is None or v.text is None:
@@ -60,6 +100,8 @@ def _sheet_rows(z: zipfile.ZipFile, name: str, shared: list[str]) -> Iterator[li
                     value = shared[int(v.text)]
                 elif kind == "b":
                     value = "True" if v.text == "1" else "False"
+                elif kind in (None, "n"):
+                    value = _number(v.text, styles[style] if style < len(styles) else "", epoch)
                 else:
                     value = v.text
                 cells += [""] * (at - len(cells)) + [value]
@@ -75,12 +117,14 @@ def xlsx_text(content: bytes, max_rows: int = MAX_TABLE_ROWS) -> str:
         if "xl/sharedStrings.xml" in names:
             shared = ["".join(t.text or "" for t in si.iter(f"{_S}t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall(f"{_S}si")]
         targets = {r.get("Id"): r.get("Target") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        out = []
-        for sheet in ElementTree.fromstring(z.read("xl/workbook.xml")).iter(f"{_S}sheet"):
+        out, styles, book = [], _styles(z), ElementTree.fromstring(z.read("xl/workbook.xml"))
+        settings = book.find(f"{_S}workbookPr")
+        epoch = datetime(1904, 1, 1) if settings is not None and settings.get("date1904") in ("1", "true") else datetime(1899, 12, 30)
+        for sheet in book.iter(f"{_S}sheet"):
             name, target = sheet.get("name"), targets[sheet.get(f"{_R}id")]
             out.append(f"## Sheet: {name}")
             path = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
-            for i, row in enumerate(_sheet_rows(z, path, shared)):
+            for i, row in enumerate(_sheet_rows(z, path, shared, styles, epoch)):
                 if i >= max_rows:
                     out.append(f"... truncated ({max_rows} rows max) in sheet '{name}' ...")
                     break

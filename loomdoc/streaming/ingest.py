@@ -10,11 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomdoc.config import ChunkingConfig, IntakeLimits
 from loomdoc.functions.text import base_name
-from loomdoc.operators.ocr import NoProvider
+from loomdoc.operators.ocr import default_provider
 from loomdoc.plans.batch import process
 
 
-def watch(spark: SparkSession, folder: str, out: str, checkpoint: str, cfg: ChunkingConfig = ChunkingConfig(), limits: IntakeLimits = IntakeLimits(), provider: Callable = NoProvider, files_per_batch: int = 1000, once: bool = True) -> StreamingQuery:
+def watch(spark: SparkSession, folder: str, out: str, checkpoint: str, cfg: ChunkingConfig = ChunkingConfig(), limits: IntakeLimits = IntakeLimits(), provider: Callable = default_provider, files_per_batch: int = 1000, once: bool = True) -> StreamingQuery:
     """Chunks and outcomes of files that arrive in folder, as Parquet under out, a sub-folder for each batch.
 
     A file's result does not depend on others, so there is no state and no watermark; a batch that is run again after a

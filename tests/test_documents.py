@@ -70,28 +70,86 @@ def test_quality(spark):
     df = pages(spark, "x" * 50, "").withColumn("confidence", F.lit(0.95))
     d = quality.document_summary(df).first()
     assert d.percent_empty_pages == 50.0 and d.extraction_mode == "native" and not d.ocr_used and d.document_needs_review
-    rows = quality.with_quality(chunking.chunk_documents(df, sections.detect_sections(df), CFG), quality.document_summary(df), df, CFG.min_words)
+    rows = quality.with_quality(chunking.chunk_documents(df, sections.detect_sections(df), CFG), quality.document_summary(df), CFG.min_words)
     r = rows.first()
     assert 0 < r.chunk_quality_score < 1 and r.low_quality_chunk and r.ocr_confidence is None
     assert quality.job_summary(rows.filter("false")).first().asDict() == {"chunks_total": 0, "low_quality_chunks": 0, "documents_needing_review": 0, "mean_chunk_quality_score": None, "fraction_low_quality": None}
 
 
 class Fake(ocr.NoProvider):
+    """Sees an image's or a page's bytes."""
+
     provider_id = "fake"
 
     def is_available(self):
         return True
 
+    def read_image(self, image, language="eng"):
+        return ocr.OcrResult(f"image of {len(image)} bytes", 0.9, "fake")
+
     def read_pdf_page(self, pdf, page_number, language="eng"):
         if page_number == 3:
             raise RuntimeError("no")
-        return ocr.OcrResult("seen text", 0.72, "fake")
+        return ocr.OcrResult(f"{pdf[:1].decode()} page {page_number}", 0.72, "fake", page_number=page_number)
 
 
 def test_recognition(spark):
-    df = spark.createDataFrame([("d", 1, "x" * 39, bytearray(b"p")), ("d", 2, "", bytearray(b"p")), ("d", 3, "", bytearray(b"p")), ("d", 4, "y" * 40, bytearray(b"p"))], "document_id string, page_number int, text string, content binary")
-    got = [(r.page_number, r.text, r.method, round(r.confidence, 3)) for r in ocr.recognise_pages(df, Fake).orderBy("page_number").collect()]
-    assert got == [(1, "x" * 39 + "\n\nseen text", "hybrid", 0.835), (2, "seen text", "ocr", 0.72), (3, "", "parse", 0.0), (4, "y" * 40, "parse", 1.0)]
-    got = [(r.page_number, r.confidence) for r in ocr.recognise_pages(df).orderBy("page_number").collect()]
-    assert got == [(1, 0.3), (2, 0.0), (3, 0.0), (4, 1.0)]
+    files = spark.createDataFrame([("d", bytearray(b"pdf")), ("i", bytearray(b"1234"))], "document_id string, content binary")
+    flagged = spark.createDataFrame([("d", 1, "pdf", "x" * 39), *(("d", n, "pdf", "") for n in range(2, 40)), ("i", 1, "image", "")], "document_id string, page_number int, kind string, text string")
+    got = {(r.document_id, r.page_number): (r.text, r.method, round(r.confidence, 3)) for r in ocr.recognise(flagged, files, Fake).collect()}
+    assert len(got) == 40 and got["d", 1] == ("x" * 39 + "\n\np page 1", "hybrid", 0.835) and got["d", 2] == ("p page 2", "ocr", 0.72)
+    assert got["d", 3] == ("", "parse", 0.0) and got["d", 39] == ("p page 39", "ocr", 0.72) and got["i", 1] == ("image of 4 bytes", "ocr", 0.9)
+    got = {(r.document_id, r.page_number): (r.method, r.confidence) for r in ocr.recognise(flagged, files, ocr.NoProvider).collect()}
+    assert got["d", 1] == ("parse", 0.3) and got["d", 2] == ("parse", 0.0) and got["i", 1] == ("ocr", 0.0)
+
+
+def test_providers(monkeypatch):
     assert ocr.mean_confidence(["96", "96.5", "-1"]) == 0.96 and ocr.mean_confidence([]) == 0.5
+    assert [(r.page_number, r.error) for r in ocr.NoProvider().read_batch([b"", b""])] == [(1, "provider unavailable"), (2, "provider unavailable")]
+    assert [(r.text, r.page_number) for r in Fake().read_batch([b"a", b"bc"])] == [("image of 1 bytes", 1), ("image of 2 bytes", 2)]
+    assert ocr.read_page(b"abc", 7, Fake()) == ocr.OcrResult("image of 3 bytes", 0.9, "fake", None, 7)
+    failed = ocr.read_page(b"", 2, ocr.CloudProvider())
+    assert failed.confidence == 0.0 and "remote" in failed.error and not ocr.CloudProvider().is_available()
+    assert ocr.turn_of("Page: 0\nRotate: 270\n") == 270 and ocr.turn_of("") == 0
+    ocr.set_default_provider(Fake)
+    try:
+        assert ocr.recognition_available() and ocr.read_page(b"a").text == "image of 1 bytes"
+    finally:
+        ocr.set_default_provider(ocr.TesseractProvider)
+
+
+def test_tesseract_with_stand_ins(monkeypatch):
+    """The steps of preparation and the confidences, with what Tesseract and Pillow are asked for written down."""
+    import sys
+    import types
+
+    asked = []
+
+    class Image:
+        def __getattr__(self, name):
+            return lambda *a, **k: (asked.append(name), self)[1]
+
+    ops = types.SimpleNamespace(grayscale=lambda x: (asked.append("grey"), x)[1], autocontrast=lambda x, cutoff: (asked.append(f"contrast {cutoff}"), x)[1])
+    filters = types.SimpleNamespace(MedianFilter=lambda n: asked.append(f"median {n}"))
+    pillow = types.SimpleNamespace(Image=types.SimpleNamespace(open=lambda b: Image()), ImageOps=ops, ImageFilter=filters)
+
+    def data(*a, **k):
+        raise RuntimeError("no data")
+
+    engine = types.SimpleNamespace(get_tesseract_version=lambda: "5", image_to_string=lambda img, lang: " words ", image_to_data=data, image_to_osd=lambda img, lang: "Rotate: 90", Output=types.SimpleNamespace(DICT=1))
+    monkeypatch.setitem(sys.modules, "PIL", pillow)
+    monkeypatch.setitem(sys.modules, "pytesseract", engine)
+    r = ocr.TesseractProvider(ocr.Preparation(upright=True)).read_image(b"x")
+    assert (r.text, r.confidence, r.error) == ("words", 0.7, None)
+    assert asked == ["load", "convert", "grey", "contrast 1", "median 3", "filter", "convert", "point", "convert", "rotate"]
+    engine.image_to_data = lambda *a, **k: {"conf": [90, "80", -1]}
+    assert ocr.TesseractProvider().read_image(b"x").confidence == 0.85
+
+
+def test_notes(spark):
+    notes = lambda *t, **k: sections.detect_sections(pages(spark, *t), **k).first().notes
+    assert notes("a line") == [sections.NOTES["short"]] and notes("word " * 100) == [sections.NOTES["none"]]
+    assert notes("x" * 199, "y" * 200) == [sections.NOTES["short"]] and notes("x" * 200, "y" * 200) == [sections.NOTES["none"]]
+    blocks = spark.createDataFrame([("d", 0, "paragraph", "a line")], "document_id string, order_index int, kind string, text string")
+    assert notes("a line", blocks=blocks) == [sections.NOTES["unstyled"], sections.NOTES["short"]]
+    assert notes("PART 1 - GENERAL\nbody") == []
