@@ -423,7 +423,7 @@ def _headings_only(spark, sf_dir) -> DataFrame:
     n = F.regexp_extract("document_id", r"(\d+)", 1).cast("long")
     bare = F.concat(F.lit("PART "), F.col("page_number"), F.lit(" - GENERAL\n\nARTICLE 5\n\nSECTION 09 65 00 FLOORING"))
     k = (n + F.col("page_number")) % 3
-    return pages.withColumns({"text": F.when(n % 25 == 7, bare).otherwise(F.col("text")), "method": F.when(k == 0, "parse").when(k == 1, "ocr").otherwise("hybrid"), "confidence": F.when(k == 0, 1.0).otherwise(0.5 + (n % 45) / 100.0)})
+    return pages.withColumns({"text": F.when(n % 25 == 7, bare).otherwise(F.col("text")), "method": F.when(k == 0, "parse").when(k == 1, "ocr").otherwise("hybrid"), "confidence": F.when(k == 0, 1.0).otherwise(0.5 + (n % 45) / 97.0)})
 
 
 _BARE = _STRUCTURED.replace("lines1 AS (", "lines2 AS (", 1) + """,
@@ -434,7 +434,7 @@ lines1 AS (
 
 _CASCADE = f"""{_SECTIONS.replace(_STRUCTURED, _BARE)},
 page AS (SELECT document_id, page_number, string_agg(line, chr(10) ORDER BY i) AS text, CAST(substring(document_id, 5) AS BIGINT) AS d FROM lines1 GROUP BY 1, 2),
-read AS (SELECT document_id, page_number, text, CASE (d + page_number) % 3 WHEN 0 THEN 'parse' WHEN 1 THEN 'ocr' ELSE 'hybrid' END AS method, CAST(CASE (d + page_number) % 3 WHEN 0 THEN 1.0 ELSE 0.5 + (d % 45) / 100.0 END AS DOUBLE) AS confidence FROM page),
+read AS (SELECT document_id, page_number, text, CASE (d + page_number) % 3 WHEN 0 THEN 'parse' WHEN 1 THEN 'ocr' ELSE 'hybrid' END AS method, CAST(CASE (d + page_number) % 3 WHEN 0 THEN 1.0 ELSE 0.5 + (d % 45) / 97.0 END AS DOUBLE) AS confidence FROM page),
 solid AS (SELECT DISTINCT document_id FROM sections WHERE {_strip('body_text')} <> ''),
 para0 AS (SELECT document_id, page_number, unnest(l) AS para, unnest(range(len(l))) AS i FROM (SELECT document_id, page_number, regexp_split_to_array(text, '\\n\\s*\\n') AS l FROM page ANTI JOIN solid USING (document_id))),
 bodies AS (
