@@ -9,7 +9,7 @@ from contextlib import contextmanager, suppress
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from loomdoc.storage import cut, shared_dir  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,21 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one of our own only where none is set and all runs on one machine."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        import tempfile
-
-        found = "file://" + tempfile.mkdtemp(prefix="loomdoc-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(found)
-    return found
-
-
 @contextmanager
 def conf(spark: SparkSession, **values: str) -> Iterator[None]:
     """Session settings for the actions inside the block; dots are written as two underscores."""
@@ -49,23 +34,6 @@ def conf(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there.
-
-    The shuffles that fed it are dropped at once; the files go when Spark no longer refers to them
-    (spark.cleaner.referenceTracking.cleanCheckpoints), and any executor may be lost afterwards.
-    """
-    spark = df.sparkSession
-    shared_dir(spark)
-    before = spark.conf.get(FILE_CLEANUP, "false")
-    spark.conf.set(FILE_CLEANUP, "true")
-    try:
-        # the mode is fixed when a DataFrame is made, so make one under the setting
-        return df.select("*").checkpoint(eager=True)
-    finally:
-        spark.conf.set(FILE_CLEANUP, before)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
