@@ -22,11 +22,11 @@ from loomdoc.llm.common import trim
 #: A space that does not begin a unit.
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 #: Characters of text in a run, and in a part of a longer text.
-RUN_CHARS = 8_000_000
+RUN_CHARS = 4_000_000
 #: Characters that the library gets in a call, unless one text has more.
 CALL_CHARS = 300_000
 #: Units that a worker remembers at most, about 30 bytes each.
-MAX_UNITS = 800_000
+MAX_UNITS = 300_000
 
 
 def split_long(text: str, run: int) -> Iterator[str]:
@@ -121,7 +121,7 @@ class Units:
                 end += 1
             yield at, *self._some(texts[at:end])
             self.runs += 1
-            if self.runs % 4 == 0:
+            if self.runs % 2 == 0:
                 trim()
             at = end
 

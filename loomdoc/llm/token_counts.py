@@ -53,7 +53,8 @@ class PrefixCounts:
             self.ends.add_word(t.decode("latin-1"), t)
         self.ends.make_automaton()
         self.tok = Tokenizer.from_file(path)
-        self.find = regex.compile(public_tokenizers.PATTERN).findall
+        pattern = regex.compile(public_tokenizers.PATTERN)
+        self.find, self.matches = pattern.findall, pattern.finditer
         self.special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
         self.special_re = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.fits: dict[tuple[bytes, bytes], bool] = {}
@@ -120,6 +121,14 @@ class PrefixCounts:
             return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
         return self.find(text)
 
+    def _each(self, text: str) -> Iterator[str]:
+        """As _split, one match after another where that is possible."""
+        if self.special_re and self.special_re.search(text) or not text.isascii() and any(map(_unassigned, set(text))):
+            yield from self._split(text)
+        else:
+            for m in self.matches(text):
+                yield m[0]
+
     def _total(self, match: str) -> int:
         return 1 if match in self.special else int(self._word(match)[-1])
 
@@ -136,33 +145,50 @@ class PrefixCounts:
             sums = np.concatenate([[0], np.cumsum(counts.astype(np.int64))])
             yield from (sums[ends] - sums[ends - sizes]).tolist()
 
-    def prefixes(self, text: str, budget: int | None = None) -> np.ndarray:
-        """Tokens of text[:i] for every i from 0 to its length, with a budget at least up to the last one within it.
+    def _places(self, text: str) -> Iterator[tuple]:
+        """For each match: itself, its start, the tokens before it, the spaces before it (start and tokens before them,
+        none if no spaces are), and where the run of ordinary text around it began, with the tokens before that."""
+        at, total, gap = 0, 0, None
+        since, before = 0, 0
+        for match in self._each(text):
+            yield match, at, total, gap, since, before
+            special = match in self.special
+            n = 1 if special else self._total(match)
+            gap = (at, total) if not special and match.isspace() else None
+            at, total = at + len(match), total + n
+            if special:
+                since, before = at, total
+
+    def _inside(self, text: str, place: tuple) -> np.ndarray:
+        """Tokens of the prefixes that end in a match, from its first character to its last."""
+        match, at, total, gap, since, before = place
+        if match in self.special:
+            return np.array([before + sum(map(self._total, self._plain(text[since : at + i]))) for i in range(1, len(match))] + [total + 1])
+        inner = total + self._word(match)[1:].astype(np.int64)
+        if gap is not None and match[0].isspace():  # up to here, the spaces before belong to one match
+            inner[0] = gap[1] + int(self._word(text[gap[0] : at + 1])[-1])
+        return inner
+
+    def prefixes(self, text: str) -> np.ndarray:
+        """Tokens of text[:i] for every i from 0 to its length.
 
         A prefix is taken as a text of its own: spaces that end it are one match, and part of a special string is
         ordinary text.
         """
-        out, at, total, gap = [np.zeros(1, np.int64)], 0, 0, None
-        since, before = 0, 0  # where the run of ordinary text began, and the tokens before it
-        for match in self._split(text):
-            if match in self.special:
-                inner = np.array([before + sum(map(self._total, self._plain(text[since : at + i]))) for i in range(1, len(match))] + [total + 1])
-                since, before = at + len(match), total + 1
-            else:
-                inner = total + self._word(match)[1:].astype(np.int64)
-                if gap is not None and match[0].isspace():  # up to here, the spaces before belong to one match
-                    inner[0] = gap[1] + int(self._word(text[gap[0] : at + 1])[-1])
-            gap = (at, total) if match.isspace() and match not in self.special else None
-            out.append(inner)
-            at += len(match)
-            total += self._total(match)
-            if budget is not None and gap is None and total > budget:
-                break  # longer prefixes hold these matches whole
-        return np.concatenate(out)
+        return np.concatenate([np.zeros(1, np.int64), *(self._inside(text, p) for p in self._places(text))])
 
     def cut(self, text: str, budget: int) -> int:
         """Characters of the longest prefix of at most budget tokens."""
-        return int(np.flatnonzero(self.prefixes(text, budget) <= budget)[-1])
+        seen = []
+        for p in self._places(text):
+            if p[2] > budget and p[3] is None:
+                break  # longer prefixes hold the matches before this one whole
+            seen.append(p)
+        for p in reversed(seen):
+            fit = np.flatnonzero(self._inside(text, p) <= budget)
+            if len(fit):
+                return p[1] + int(fit[-1]) + 1
+        return 0
 
 
 def _unassigned(c: str) -> bool:
