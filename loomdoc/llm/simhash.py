@@ -301,23 +301,33 @@ def digest(w: list[bytes]) -> bytes:
     return hashlib.sha256(b" ".join(w)).digest()
 
 
-def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (doc_id, digest), distinct texts (digest, node, least, n) and components (node, component)."""
-    plan = plan_for(similarity, recall, docs.count())
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("fp", pa.list_(pa.int64())), ("weak", pa.list_(pa.int8())), ("look", pa.int64())])
+def _measured(docs: DataFrame, plan: Plan, shingle: int, text_col: str) -> tuple[DataFrame, list[str]]:
+    """docs, all columns, with the digest of each text's words, its fingerprint's words, their least certain bits and
+    the word for a first look, written once; and the four columns' names. Null texts have no words."""
+    names = [free_name(docs.columns, n) for n in ("digest_", "print_", "weak_", "look_")]
+    kinds = (T.BinaryType(), T.ArrayType(T.LongType()), T.ArrayType(T.ByteType()), T.LongType())
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds, strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             of, got = [], []
-            for t in b.column(1):
-                w = words(t.as_py())
+            for t in b.column(b.schema.get_field_index(text_col)).cast(pa.string()):
+                w = words(t.as_py() or "")
                 of.append(digest(w))
                 got.append(long_fingerprint(shingle_set(w, shingle), plan))
             fp, weak, look = zip(*got, strict=True) if got else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(of, pa.binary()), pa.array(fp, schema.field(2).type), pa.array(weak, schema.field(3).type), pa.array(look, pa.int64())], schema=schema)
+            more = [pa.array(of, pa.binary()), pa.array(fp, pa.list_(pa.int64())), pa.array(weak, pa.list_(pa.int8())), pa.array(look, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, *names])
+
+    return cut(docs.mapInArrow(run, schema)), names
+
 
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rows = cut(texts.mapInArrow(run, "doc_id long, digest binary, fp array<long>, weak array<tinyint>, look long"))
+def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_col: str, text_col: str) -> tuple[DataFrame, str, DataFrame, DataFrame]:
+    """docs with a digest, its column's name, distinct texts (digest, node, least, n) and components (node, component)."""
+    plan = plan_for(similarity, recall, docs.count())
+    wide, names = _measured(docs, plan, shingle, text_col)
+    rows = wide.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), *(F.col(f"`{n}`").alias(k) for n, k in zip(names, ("digest", "fp", "weak", "look"), strict=True)))
+    texts = wide.select(F.col(f"`{names[0]}`").alias("digest"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     found = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("weak").alias("weak"), F.first("look").alias("look"))
     groups = cut(cut(found).withColumn("node", F.monotonically_increasing_id()))  # numbers of written rows, kept as written
     turn = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
@@ -347,9 +357,9 @@ def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_
     # sets as similar have this share of both sizes in common, and sketches this near
     able = f"least(u_most, v_most) >= {similarity / (1 + similarity) - 1e-9!r}D * (u_size + v_size) and {_distance('u_sketch', 'v_sketch')} <= {_bound(similarity, 64 * SKETCH)}"
 
-    nodes = cut(groups.select("node", "look", own.alias("own"), F.concat(own, turned).alias("asked")))
-    comp = _linked(nodes, F.col("own"), F.col("asked"), ["look"], f"bit_count(u_look ^ v_look) <= {plan.first}", verify, bounds, able)
-    return rows, groups, comp
+    nodes = groups.select("node", "look", "fp", "weak")
+    comp = _linked(nodes, own, F.concat(own, turned), ["look"], f"bit_count(u_look ^ v_look) <= {plan.first}", verify, bounds, able)
+    return wide, names[0], groups, comp
 
 
 def _sets(texts: DataFrame, groups: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
@@ -361,7 +371,7 @@ def _sets(texts: DataFrame, groups: DataFrame, some: DataFrame, shingle: int) ->
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(words(t.as_py()), shingle).view("<i8") for t in b.column(1)], hashed.field(1).type)], schema=hashed)
 
     asked = groups.select("digest", "node").join(some, "node", "left_semi")
-    one = _with_digest(texts.select("text"), "text", "digest").join(asked, "digest").dropDuplicates(["node"]).select("node", "text")
+    one = texts.join(asked, "digest").dropDuplicates(["node"]).select("node", "text")
     return one.mapInArrow(run, "node long, s array<long>")
 
 
@@ -376,18 +386,6 @@ def _similar_pairs(texts: DataFrame, groups: DataFrame, pairs: DataFrame, plan:
     return cut(shared.filter(F.expr("shared / (total - shared)") >= F.lit(float(similarity))).select("u", "v"))
 
 
-def _with_digest(docs: DataFrame, text_col: str, name: str) -> DataFrame:
-    """docs with the digest of each text's words."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
-            of = [digest(words(t.as_py() or "")) for t in b.column(text_col).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(of, pa.binary())], names=[*b.schema.names, name])
-
-    return docs.mapInArrow(run, schema)
-
-
 def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and component_id of every row, over links of a Jaccard similarity of sets of shingles of words.
 
@@ -396,8 +394,9 @@ def similar(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall:
     row with a null id has a component like any other, null where no row in it has an id. Null texts have no words;
     texts without words, and texts of the same words, are copies of each other. Other columns are left out.
     """
-    rows, groups, comp = _groups(docs, similarity, shingle, recall, id_col, text_col)
-    return _named(rows.select("doc_id", "digest"), groups.select("digest", "node", "least", "n"), "digest", comp).select("doc_id", "component_id")
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    wide, key, groups, comp = _groups(slim, similarity, shingle, recall, "doc_id", "text")
+    return _named(wide.select("doc_id", F.col(key).alias("digest")), groups.select("digest", "node", "least", "n"), "digest", comp).select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -408,15 +407,15 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall:
     stays.
     """
     names = docs.columns
-    rows, groups, comp = _groups(docs, similarity, shingle, recall, id_col, text_col)
+    wide, key, groups, comp = _groups(docs, similarity, shingle, recall, id_col, text_col)
     named = cut(groups.select("digest", "node", "least", "n").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node")))
     # of a component's texts the one with the smallest id, nulls last, then the smallest number
     order = F.struct(F.col("least").isNull().alias("none"), "least", "node")
     best = named.groupBy("component").agg(F.min(order).alias("best"), F.sum("n").alias("m"))
     stays = best.select("best.node", "best.least").join(named.select("node", "digest", "n"), "node")
-    key, least, many = (free_name(names, n) for n in ("digest_", "least_", "many_"))
+    least, many = (free_name(wide.columns, n) for n in ("least_", "many_"))
     stays = cut(stays.select(F.col("digest").alias(key), F.col("least").alias(least), (F.col("n") > 1).alias(many)))
-    marked = _with_digest(docs, text_col, key).join(stays, key).filter(F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(least)))
+    marked = wide.join(stays, key).filter(F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(least)))
     alone = marked.filter(~F.col(many)).select(*(f"`{n}`" for n in names))
     again = marked.filter(many).dropDuplicates([key]).select(*(f"`{n}`" for n in names))
     return alone.unionByName(again)
