@@ -380,7 +380,7 @@ def _similar_pairs(texts: DataFrame, groups: DataFrame, pairs: DataFrame, plan:
     prints = groups.select("node", "fp")
     near = pairs.join(prints.selectExpr("node as u", "fp as a"), "u").join(prints.selectExpr("node as v", "fp as b"), "v").filter(f"{_distance('a', 'b')} <= {plan.distance}")
     near = cut(near.select("u", "v"))
-    sets = cut(_sets(texts, groups, near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), shingle))
+    sets = cut(_sets(texts, groups, near.selectExpr("u as node").union(near.selectExpr("v as node")).distinct(), shingle))
     both = near.join(sets.selectExpr("node as u", "s as a"), "u").join(sets.selectExpr("node as v", "s as b"), "v")
     shared = both.selectExpr("u", "v", "size(a) + size(b) as total", "size(array_intersect(a, b)) as shared")
     return cut(shared.filter(F.expr("shared / (total - shared)") >= F.lit(float(similarity))).select("u", "v"))
