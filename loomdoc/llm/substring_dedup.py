@@ -16,7 +16,6 @@ no document meets another.
 from __future__ import annotations
 
 import hashlib
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +32,8 @@ BLOCK = 10
 CHUNK_BYTES = 4_000_000
 #: Chunks' worth of hashes that a range of them holds: some 3 million, 24 MB.
 CHUNKS_A_RANGE = 4
+#: Hashes of a range that are sorted at once.
+STEP = 1 << 19
 #: Bits of a probe's hash; what agrees in them by chance only becomes a candidate.
 PROBE_BITS = 48
 #: Bits of a window's first hash that are used; fewer in tests, where the second one has to tell windows apart.
@@ -45,7 +46,7 @@ _MULT, _MULT2 = _rng.integers(0, 1 << 63, (2, 64), dtype=np.uint64) * np.uint64(
 
 def word_hashes(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of every word of every text, in one array each."""
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, itertools.chain.from_iterable(texts))), "<u8").reshape(-1, 2)
+    both = np.frombuffer(b"".join([b"".join(map(xxhash.xxh3_128_digest, t)) for t in texts]), "<u8").reshape(-1, 2)
     return both[:, 0].copy(), both[:, 1].copy()
 
 
@@ -67,15 +68,17 @@ def rolling(words: np.ndarray, size: int) -> np.ndarray:
 
 
 class Chunk:
-    """The documents of a chunk as one array of word hashes."""
+    """The documents of a chunk as one array of word hashes; words and texts are left out where they are not needed."""
 
-    def __init__(self, data: bytes, text: str):
+    def __init__(self, data: bytes, text: str, words: bool = True):
         self.batch = pa.ipc.open_stream(data).read_all().combine_chunks()
         self.texts = self.batch.column(text).to_pylist()
         self.words = [t.encode().split() if t else [] for t in self.texts]  # bytes: ASCII white space only
         self.sizes = np.array(list(map(len, self.words)), np.int64)
         self.ends = np.cumsum(self.sizes)
         self.hashes, self.seconds = word_hashes(self.words)
+        if not words:
+            self.words = self.texts = None
 
     def windows(self, size: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts, hashes and documents of the windows of size words in documents of at least least words."""
@@ -113,6 +116,19 @@ def _ranges(sorted_hashes: np.ndarray, buckets: int, bits: int) -> list[tuple[in
     return [(int(k[a]), a, b) for a, b in zip(at, at[1:])]
 
 
+def _steps(parts: list[np.ndarray]) -> Iterator[list[slice]]:
+    """Parts, each sorted, cut at the same hashes, so that about STEP of them all come at a time; equal hashes come together."""
+    n = sum(map(len, parts))
+    if not n:
+        return
+    low, high = min(int(p[0]) for p in parts if len(p)), max(int(p[-1]) for p in parts if len(p))
+    steps = -(-n // STEP)
+    edges = np.array([low + (high - low) * i // steps for i in range(1, steps)], np.uint64)
+    at = [[0, *np.searchsorted(p, edges).tolist(), len(p)] for p in parts]
+    for i in range(steps):
+        yield [slice(a[i], a[i + 1]) for a in at]
+
+
 def _probes(c: Chunk, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct probe hashes, each probe's place among them, the probes' starts, and whether each is a block."""
     starts, h, doc = c.windows(BLOCK, window)
@@ -185,7 +201,7 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
     def send_probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                c = Chunk(data.as_buffer(), text_col)
+                c = Chunk(data.as_buffer(), text_col, words=False)
                 u, inverse, _, block = _probes(c, window)
                 many = np.bincount(inverse, minlength=len(u)) > 1
                 blocks = np.bincount(inverse, weights=block, minlength=len(u)) > 0
@@ -196,12 +212,21 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
 
     def answer_probes(t: pa.Table) -> pa.Table:
         parts = [_unpack(x.as_py()) for x in t.column("hashes")]
-        n = list(map(len, parts))
-        u, inverse, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        flag = lambda name: np.concatenate([_from_bits(x.as_py(), m) for x, m in zip(t.column(name), n, strict=True)])
-        often = (count > 1) | (np.bincount(inverse, weights=flag("many"), minlength=len(u)) > 0)
-        found = (often & (np.bincount(inverse, weights=flag("blocks"), minlength=len(u)) > 0))[inverse]
-        each = [_bits(x) if x.any() else None for x in np.split(found, np.cumsum(n)[:-1])]
+        flags = [[_from_bits(x.as_py(), len(p)) for x, p in zip(t.column(name), parts, strict=True)] for name in ("many", "blocks")]
+        found = [np.zeros(len(p), bool) for p in parts]
+        for cuts in _steps(parts):
+            many, blocks = (np.concatenate([f[at] for f, at in zip(flag, cuts, strict=True)]) for flag in flags)
+            u, inverse, count = np.unique(np.concatenate([p[at] for p, at in zip(parts, cuts, strict=True)]), return_inverse=True, return_counts=True)
+            often, block = count > 1, np.zeros(len(u), bool)
+            often[inverse[many]] = True
+            block[inverse[blocks]] = True
+            answer, done = (often & block)[inverse], 0
+            for f, at in zip(found, cuts, strict=True):
+                f[at] = answer[done : done + at.stop - at.start]
+                done += at.stop - at.start
+        each = [_bits(x) if x.any() else None for x in found]
+        del parts, flags, found
+        trim()
         return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"), "answer": pa.array(each, pa.binary())})
 
     def given(t: pa.Table) -> dict[int, bytes]:
@@ -214,7 +239,7 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
         rows = []
         if hits.num_rows:
             for chunk, data in zip(t.column("chunk").to_pylist(), t.column("data"), strict=True):
-                c = Chunk(data.as_buffer(), text_col)
+                c = Chunk(data.as_buffer(), text_col, words=False)
                 u, second, first, _ = _firsts(c, *_candidates(c, window, _hits(c, window, given(hits), buckets)), id_col)
                 for k, x, y in _ranges(u, buckets, 64):
                     rows.append((k, chunk, _pack(u[x:y]), second[x:y].astype("<u8").tobytes(), zstandard.ZstdCompressor(level=1).compress(first[x:y].astype("<i8").tobytes())))
@@ -226,16 +251,22 @@ def repeated(docs: DataFrame, finish, ddl: str, window: int = 20, id_col: str =
     def answer_windows(t: pa.Table) -> pa.Table:
         """A bit for each hash: whether its earliest start is in this chunk."""
         parts = [_unpack(x.as_py()) for x in t.column("hashes")]
-        n = list(map(len, parts))
-        h = np.concatenate(parts)
-        second = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in t.column("seconds")])
-        doc = np.concatenate([np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), "<i8") for x in t.column("docs")])
-        chunk = np.repeat(np.array(t.column("chunk").to_pylist()), n)
-        order = np.lexsort((chunk, doc, second, h))
-        new = _changes(h[order], second[order])
-        first = np.zeros(len(h), bool)
-        first[order[new]] = True
-        each = [_bits(x) for x in np.split(first, np.cumsum(n)[:-1])]
+        seconds = [np.frombuffer(x.as_py(), "<u8") for x in t.column("seconds")]
+        docs = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x.as_py()), "<i8") for x in t.column("docs")]
+        chunk = np.array(t.column("chunk").to_pylist())
+        first = [np.zeros(len(p), bool) for p in parts]
+        for cuts in _steps(parts):
+            h, second, doc = (np.concatenate([p[at] for p, at in zip(x, cuts, strict=True)]) for x in (parts, seconds, docs))
+            sizes = [at.stop - at.start for at in cuts]
+            order = np.lexsort((np.repeat(chunk, sizes), doc, second, h))
+            answer, done = np.zeros(len(h), bool), 0
+            answer[order[_changes(h[order], second[order])]] = True
+            for f, at, n in zip(first, cuts, sizes, strict=True):
+                f[at] = answer[done : done + n]
+                done += n
+        each = [_bits(x) for x in first]
+        del parts, seconds, docs, first
+        trim()
         return pa.table({"chunk": t.column("chunk"), "bucket": t.column("bucket"), "answer": pa.array(each, pa.binary())})
 
     meet = lambda other: stored.groupBy("chunk").cogroup(other.groupBy("chunk"))

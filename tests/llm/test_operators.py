@@ -220,7 +220,7 @@ def test_substrings(spark, monkeypatch, spread_out):
 def test_words_decide_where_first_hashes_agree(spark, monkeypatch, spread_out):
     """With 4 bits of the first hash and 6 of a probe's, different windows meet all the time."""
     with open(substring_dedup.__file__, encoding="utf-8") as f:
-        source = f.read().replace("WINDOW_BITS = 64", "WINDOW_BITS = 4").replace("PROBE_BITS = 48", "PROBE_BITS = 33")
+        source = f.read().replace("WINDOW_BITS = 64", "WINDOW_BITS = 4").replace("PROBE_BITS = 48", "PROBE_BITS = 33").replace("STEP = 1 << 19", "STEP = 100")
     short = types.ModuleType("short_hashes")
     exec(source, short.__dict__)
     rng = random.Random(8)
