@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomdoc.functions.text import strip
+from loomdoc.functions.text import WS, strip
 
 # Rules, weights and bounds of the heading score. (?d): only \n ends a line, as in Python.
 LEAST_CHARS, MOST_CHARS, THRESHOLD = 3, 220, 2.5
@@ -19,6 +19,8 @@ DIVISION = rf"(?d)^\s*(DIVISION|Division)\s+{_NUMBER}\b"
 OUTLINE = r"(?d)^\s*(\d{1,2}\.\d+(?:\.\d+)?)\s+(\S.{0,200})$"
 OUTLINE_ALONE = r"(?d)^\s*(\d{1,2}\.\d+(?:\.\d+)?)\s*$"
 ARTICLE = r"(?d)^\s*(ARTICLE|Article)\s+\d+"
+#: How lines begin for which a rule other than caps can hold; caps alone stays below the threshold.
+LEAD = rf"^{WS}*(?:SECTION|Section|PART|Part|DIVISION|Division|ARTICLE|Article|\d)"
 WEIGHTS = {"csi": 6.0, "section": 3.5, "part": 5.5, "part_alone": 3.0, "division": 4.5, "outline": 3.5, "outline_alone": 2.0, "article": 4.0, "caps": 1.5}
 REASONS = {
     "csi": "Matches CSI-style SECTION line (e.g. SECTION 09 65 00).",
@@ -63,3 +65,8 @@ def heading_reasons(line: Column) -> Column:
 
 def is_heading(line: Column) -> Column:
     return F.coalesce(heading_score(line) >= THRESHOLD, F.lit(False))
+
+
+def may_be_heading(line: Column) -> Column:
+    """False for no line that is a heading; one short look instead of all rules."""
+    return line.rlike(LEAD)

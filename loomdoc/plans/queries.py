@@ -550,8 +550,9 @@ rules AS ({_evidence_sql()} UNION ALL SELECT doc_id, 1000000, 'meta:mixed_signal
 placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, i) AS place FROM rules WHERE weight > 0)
 SELECT doc_id, CAST(place - 1 AS INTEGER) AS place, rule_id, category, round(weight, 6) AS weight FROM placed WHERE place <= 25""")
 def classification_evidence(spark, sf_dir):
-    found = classify.classify(_class_docs(spark, sf_dir)).select("doc_id", F.posexplode("evidence").alias("place", "e"))
-    return found.select("doc_id", "place", "e.rule_id", "e.category", F.round("e.weight", 6).alias("weight"))
+    # outer, as the filter inferred for the other form is pushed to the texts and computes all of them again
+    found = classify.classify(_class_docs(spark, sf_dir)).select("doc_id", F.posexplode_outer("evidence").alias("place", "e"))
+    return found.filter("place is not null").select("doc_id", "place", "e.rule_id", "e.category", F.round("e.weight", 6).alias("weight"))
 
 
 @_query(f"""WITH RECURSIVE {_chunk_sql(SMALL)} SELECT 'page_span' AS rule, CAST(0 AS BIGINT) AS violations UNION ALL SELECT 'digest', 0 UNION ALL SELECT 'score', 0 UNION ALL SELECT 'title', 0
