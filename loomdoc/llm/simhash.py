@@ -17,7 +17,8 @@ links join is not compared again, so a dense group of near copies costs a few co
 each pair. Then every pair of a bucket that they have not joined is compared. Where a similarity decides, buckets that
 stay mixed and dense get a step between: how many of a text's shingles occur in another text of such buckets bounds what
 it can share with any. The text with the largest share of these (what the others are copies of, if it is there) is
-compared with the rest of its bucket, and pairs that the bounds rule out are left out; none that links is.
+compared with the rest of its bucket, and pairs that the bounds rule out are left out; none that links is. One bound is a
+bitmap of each set: a bit that differs is a shingle that only one has, so of small sets hardly more than the links is left.
 """
 
 from __future__ import annotations
@@ -43,9 +44,9 @@ SEED = 42
 FLIPS, SLACK = 3, 3.0
 #: Rows of a bucket that one task compares with what looks it up, and comparisons that cost as much as a row moved.
 SLICE, RATIO = 2048, 50
-#: Rows of a mixed bucket from which it is dense (and four times the mean at least), and words of the fingerprints by
-#: which texts of such are compared.
-DENSE, SKETCH = 16, 16
+#: Rows of a mixed bucket from which it is dense (and four times the mean at least), and words of the fingerprints and of
+#: the bitmaps by which texts of such are compared.
+DENSE, SKETCH, BITMAP = 16, 16, 32
 
 
 def words(text: str) -> list[bytes]:
@@ -296,6 +297,13 @@ def long_fingerprint(h: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray,
     return out[:-1].view("<i8"), np.argsort(doubt, axis=1, kind="stable")[:, :FLIPS].astype(np.int8).ravel(), int(out[-1:].view("<i8")[0])
 
 
+def bitmap(h: np.ndarray) -> np.ndarray:
+    """BITMAP words with the bit of each hash's remainder set: two sets differ in as many hashes as bits, or more."""
+    bits = np.zeros(64 * BITMAP, np.uint8)
+    bits[(h % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<i8")
+
+
 def digest(w: list[bytes]) -> bytes:
     """What names a text's words: their SHA-256."""
     return hashlib.sha256(b" ".join(w)).digest()
@@ -340,22 +348,24 @@ def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_
     def verify(pairs: DataFrame) -> DataFrame:
         return _similar_pairs(texts, groups, pairs, plan, similarity, shingle)
 
-    sketched = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
+    sketched = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("map", pa.list_(pa.int64()))])
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
             sets = [np.array(x.values, np.int64).view("<u8") for x in b.column(1)]
             made = [np.packbits(2 * bit_counts(h, SKETCH) > len(h), bitorder="little").view("<i8") for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(sketched.field(1).type), pa.array(made, sketched.field(2).type)], schema=sketched)
+            maps = [bitmap(h) for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(sketched.field(1).type), pa.array(made, sketched.field(2).type), pa.array(maps, sketched.field(3).type)], schema=sketched)
 
     def bounds(some: DataFrame) -> DataFrame:
-        sets = cut(_sets(texts, groups, some, shingle).mapInArrow(sketch, "node long, s array<long>, sketch array<long>"))
+        sets = cut(_sets(texts, groups, some, shingle).mapInArrow(sketch, "node long, s array<long>, sketch array<long>, map array<long>"))
         several = sets.select(F.explode("s").alias("e")).groupBy("e").count().filter("count > 1").select("e")
         most = sets.select("node", F.explode("s").alias("e")).join(several, "e").groupBy("node").agg(F.count("*").cast("int").alias("most"))
-        return sets.select("node", F.size("s").alias("size"), "sketch").join(most, "node", "left").select("size", "node", F.coalesce("most", F.lit(0)).alias("most"), "sketch", F.expr("coalesce(most, 0) / greatest(size, 1)").alias("share"))
+        return sets.select("node", F.size("s").alias("size"), "sketch", "map").join(most, "node", "left").select("size", "node", F.coalesce("most", F.lit(0)).alias("most"), "sketch", "map", F.expr("coalesce(most, 0) / greatest(size, 1)").alias("share"))
 
-    # sets as similar have this share of both sizes in common, and sketches this near
-    able = f"least(u_most, v_most) >= {similarity / (1 + similarity) - 1e-9!r}D * (u_size + v_size) and {_distance('u_sketch', 'v_sketch')} <= {_bound(similarity, 64 * SKETCH)}"
+    # sets as similar have this share of both sizes in common, sketches this near, and no more bits of bitmaps than shingles that only one has
+    apart = (1 - similarity) / (1 + similarity) + 1e-9
+    able = f"least(u_most, v_most) >= {similarity / (1 + similarity) - 1e-9!r}D * (u_size + v_size) and {_distance('u_sketch', 'v_sketch')} <= {_bound(similarity, 64 * SKETCH)} and {_distance('u_map', 'v_map')} <= {apart!r} * (u_size + v_size)"
 
     nodes = groups.select("node", "look", "fp", "weak")
     comp = _linked(nodes, own, F.concat(own, turned), ["look"], f"bit_count(u_look ^ v_look) <= {plan.first}", verify, bounds, able)
