@@ -57,11 +57,13 @@ class Units:
     """Ids of texts from the ids of their units.
 
     encode: ids (one flat array) and numbers of ids of a list of texts, each by itself. special: strings that the
-    library takes out of a text before it splits it.
+    library takes out of a text before it splits it. run, most: characters of a run and units remembered, where they
+    are not to be RUN_CHARS and MAX_UNITS; more of both take memory and spare calls of the library.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: tuple[str, ...] = ()):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], special: tuple[str, ...] = (), run: int = 0, most: int = 0):
         self.encode = encode
+        self.run, self.most = run, most
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.runs = 0
         self.forget()
@@ -90,7 +92,7 @@ class Units:
         own = len(self.ids)
         n = len(missing)
         base_starts, base_lengths, base_ids = self.starts, self.lengths, self.ids
-        if n > 0.9 * len(units) and len(self.known) > 0.9 * MAX_UNITS:
+        if n > 0.9 * len(units) and len(self.known) > 0.9 * (self.most or MAX_UNITS):
             self.forget()  # the texts have changed
         all_ids = np.concatenate([base_ids, ids])
         all_starts = np.concatenate([base_starts, starts + own])
@@ -103,7 +105,7 @@ class Units:
         out = all_ids[spread(all_starts[index], sizes)]
         total = np.concatenate([[0], np.cumsum(sizes)])
         bounds = parts.offsets.to_numpy()
-        if len(self.known) + n <= MAX_UNITS and n:
+        if len(self.known) + n <= (self.most or MAX_UNITS) and n:
             more = int(lengths[:n].sum())
             self.known = pa.concat_arrays([self.known, new])
             self.ids = np.concatenate([self.ids, ids[:more]])
@@ -116,7 +118,7 @@ class Units:
         at = 0
         while at < len(texts):
             end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= RUN_CHARS):
+            while end < len(texts) and (end == at or size + len(texts[end]) <= (self.run or RUN_CHARS)):
                 size += len(texts[end])
                 end += 1
             yield at, *self._some(texts[at:end])
@@ -132,7 +134,7 @@ class Units:
         skip = set(odd)
         for i, t in enumerate(texts):
             if i not in skip:
-                for part in split_long(t, RUN_CHARS):
+                for part in split_long(t, self.run or RUN_CHARS):
                     parts.append(part)
                     owner.append(i)
         if len(parts) > len(texts):  # a long text's parts, one by one
@@ -152,7 +154,7 @@ class Units:
         return np.concatenate([ids, more])[spread(starts, counts)], counts
 
 
-def json_units(path: str) -> Units:
+def json_units(path: str, run: int = 0, most: int = 0) -> Units:
     """Ids as the tokenizers library gives them for a byte-level BPE file, special strings inside texts included."""
     from tokenizers import Tokenizer
 
@@ -185,7 +187,7 @@ def json_units(path: str) -> Units:
         bounds = np.concatenate([[-1], between, [len(got)]])
         return np.delete(got, between), (np.diff(bounds) - 1)[: len(texts)]
 
-    return Units(encode, tuple(special))
+    return Units(encode, tuple(special), run, most)
 
 
 _loaded: dict = {}
@@ -198,5 +200,5 @@ def loaded(kind: str, path: str, make: Callable):
     return _loaded[kind, path]
 
 
-def encoder(path: str) -> Units:
-    return loaded("json", path, json_units)
+def encoder(path: str, run: int = 0, most: int = 0) -> Units:
+    return loaded(f"json {run} {most}", path, lambda p: json_units(p, run, most))
