@@ -23,8 +23,10 @@ from loomdoc.llm.common import trim
 _UNSAFE = re.compile(r" (?=\s|\Z)")
 #: Characters of text in a run, and in a part of a longer text.
 RUN_CHARS = 4_000_000
-#: Characters that the library gets in a call, unless one text has more.
-CALL_CHARS = 300_000
+#: Characters that the library gets in a call, unless one text has more; it takes some 200 bytes for each until the call ends.
+CALL_CHARS = 30_000
+#: Units whose ids are gathered at once.
+GATHER = 1 << 16
 #: Units that a worker remembers at most, about 30 bytes each.
 MAX_UNITS = 300_000
 
@@ -78,11 +80,14 @@ class Units:
     def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and numbers of ids of texts that can be split at their spaces."""
         parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        bounds = parts.offsets.to_numpy()
         coded = parts.values.dictionary_encode()
-        units, index = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        first = parts.offsets.to_numpy()[:-1].astype(np.int64)
+        del parts  # a run's arrays go as soon as they are used, or they add up to many times its text
+        units, index = coded.dictionary, coded.indices.to_numpy()
+        first = bounds[:-1]
         at = pc.index_in(units, self.known)
-        where = at.fill_null(-1).to_numpy().astype(np.int64)
+        where = at.fill_null(-1).to_numpy().astype(np.int32)
+        del at
         missing = np.flatnonzero(where < 0)
         new = units.take(pa.array(missing))
         heads = [t.partition(" ")[0] for t in texts]  # these have no space before them
@@ -100,18 +105,23 @@ class Units:
         where[missing] = len(base_starts) + np.arange(n)
         code = dict(zip(names, range(len(base_starts) + n, len(base_starts) + n + len(names)), strict=True))
         index = where[index]
+        del coded, where
         index[first] = [code[h] for h in heads]
-        sizes = all_lengths[index]
-        out = all_ids[spread(all_starts[index], sizes)]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        bounds = parts.offsets.to_numpy()
+        counts = np.add.reduceat(all_lengths.astype(np.int32)[index], first, dtype=np.int64)
+        out, done = np.empty(int(counts.sum()), "<u4"), 0
+        for at in range(0, len(index), GATHER):
+            some = index[at : at + GATHER]
+            got = all_ids[spread(all_starts[some], all_lengths[some])]
+            out[done : done + len(got)] = got
+            done += len(got)
+        del index
         if len(self.known) + n <= (self.most or MAX_UNITS) and n:
             more = int(lengths[:n].sum())
             self.known = pa.concat_arrays([self.known, new])
             self.ids = np.concatenate([self.ids, ids[:more]])
             self.starts = np.concatenate([self.starts, starts[:n] + len(self.ids) - more])
             self.lengths = np.concatenate([self.lengths, lengths[:n]])
-        return out, total[bounds[1:]] - total[bounds[:-1]]
+        return out, counts
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Runs of texts in order: the first one's index, the ids of all in one array, the number of ids of each."""
@@ -166,7 +176,7 @@ def json_units(path: str, run: int = 0, most: int = 0) -> Units:
         return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Texts by calls of moderate size, as the library keeps some 200 bytes for each id until a call ends."""
+        """Texts by calls of moderate size."""
         parts, at = [], 0
         while at < len(texts):
             end, size = at, 0

@@ -21,6 +21,8 @@ from loomdoc.llm.common import slices
 
 #: Tokens in a batch, at least, unless the partition ends.
 BATCH = 1 << 20
+#: Characters of a run of texts, and rows whose texts are Python strings at once.
+RUN, ROWS = 2_000_000, 512
 
 
 def capacities(total: int, size: int) -> list[int]:
@@ -79,11 +81,11 @@ def pack_sequences(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1
         keys: list = []
         sizes: list[int] = []
         held: list[np.ndarray] = []
-        code = encoder(path)
+        code = encoder(path, RUN)
 
         def packed() -> pa.RecordBatch:
             nonlocal first, keys, sizes, held
-            data = memoryview(np.concatenate(held).tobytes())
+            data = np.concatenate(held).view(np.uint8).data
             begin = np.concatenate([[0], np.cumsum(sizes)]).tolist()
             pieces = pack(sizes, size)
             each = [data[4 * (begin[d] + s) : 4 * (begin[d] + s + n)] for d, s, n, _, _ in pieces]
@@ -96,10 +98,11 @@ def pack_sequences(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1
             return pa.RecordBatch.from_arrays(cols, schema=schema)
 
         tokens = 0
-        for b in slices(batches):
+        for b in slices(batches, ROWS):
             ids_of = b.column(0).to_pylist()
             for at, ids, n in code(b.column(1).to_pylist()):
-                held.append(np.insert(ids, np.cumsum(n), end_id).astype("<u4"))
+                held.append(np.insert(ids, np.cumsum(n), end_id).astype("<u4", copy=False))
+                del ids  # not to be held while the next run is encoded
                 keys += ids_of[at : at + len(n)]
                 sizes += (n + 1).tolist()
                 tokens += len(held[-1])

@@ -348,17 +348,8 @@ def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_
     def verify(pairs: DataFrame) -> DataFrame:
         return _similar_pairs(texts, groups, pairs, plan, similarity, shingle)
 
-    sketched = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("map", pa.list_(pa.int64()))])
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 256):
-            sets = [np.array(x.values, np.int64).view("<u8") for x in b.column(1)]
-            made = [np.packbits(2 * bit_counts(h, SKETCH) > len(h), bitorder="little").view("<i8") for h in sets]
-            maps = [bitmap(h) for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(sketched.field(1).type), pa.array(made, sketched.field(2).type), pa.array(maps, sketched.field(3).type)], schema=sketched)
-
     def bounds(some: DataFrame) -> DataFrame:
-        sets = cut(_sets(texts, groups, some, shingle).mapInArrow(sketch, "node long, s array<long>, sketch array<long>, map array<long>"))
+        sets = cut(_sets(texts, groups, some, shingle, sketches=True))
         several = sets.select(F.explode("s").alias("e")).groupBy("e").count().filter("count > 1").select("e")
         most = sets.select("node", F.explode("s").alias("e")).join(several, "e").groupBy("node").agg(F.count("*").cast("int").alias("most"))
         return sets.select("node", F.size("s").alias("size"), "sketch", "map").join(most, "node", "left").select("size", "node", F.coalesce("most", F.lit(0)).alias("most"), "sketch", "map", F.expr("coalesce(most, 0) / greatest(size, 1)").alias("share"))
@@ -372,17 +363,23 @@ def _groups(docs: DataFrame, similarity: float, shingle: int, recall: float, id_
     return wide, names[0], groups, comp
 
 
-def _sets(texts: DataFrame, groups: DataFrame, some: DataFrame, shingle: int) -> DataFrame:
-    """node and s, the set of its shingles' hashes, of some nodes."""
-    hashed = pa.schema([("node", pa.int64()), ("s", pa.list_(pa.int64()))])
+def _sets(texts: DataFrame, groups: DataFrame, some: DataFrame, shingle: int, sketches: bool = False) -> DataFrame:
+    """node and s, the set of its shingles' hashes, of some nodes; with sketches also sketch and map, a fingerprint of
+    SKETCH words and the bitmap. All comes of one pass: each one more keeps a worker more in an executor for good."""
+    names = ["s", "sketch", "map"] if sketches else ["s"]
+    made = pa.schema([("node", pa.int64()), *((n, pa.list_(pa.int64())) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 256):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(words(t.as_py()), shingle).view("<i8") for t in b.column(1)], hashed.field(1).type)], schema=hashed)
+            sets = [shingle_set(words(t.as_py()), shingle) for t in b.column(1)]
+            cols = [[h.view("<i8") for h in sets]]
+            if sketches:
+                cols += [[np.packbits(2 * bit_counts(h, SKETCH) > len(h), bitorder="little").view("<i8") for h in sets], [bitmap(h) for h in sets]]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, pa.list_(pa.int64())) for c in cols)], schema=made)
 
     asked = groups.select("digest", "node").join(some, "node", "left_semi")
     one = texts.join(asked, "digest").dropDuplicates(["node"]).select("node", "text")
-    return one.mapInArrow(run, "node long, s array<long>")
+    return one.mapInArrow(run, ", ".join(["node long", *(f"{n} array<long>" for n in names)]))
 
 
 def _similar_pairs(texts: DataFrame, groups: DataFrame, pairs: DataFrame, plan: Plan, similarity: float, shingle: int) -> DataFrame:

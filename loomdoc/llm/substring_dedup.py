@@ -16,7 +16,7 @@ no document meets another.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ _rng = np.random.default_rng(20_111)
 _MULT, _MULT2 = _rng.integers(0, 1 << 63, (2, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def word_hashes(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Iterable[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of every word of every text, in one array each."""
     both = np.frombuffer(b"".join([b"".join(map(xxhash.xxh3_128_digest, t)) for t in texts]), "<u8").reshape(-1, 2)
     return both[:, 0].copy(), both[:, 1].copy()
@@ -73,10 +73,20 @@ class Chunk:
     def __init__(self, data: bytes, text: str, words: bool = True):
         self.batch = pa.ipc.open_stream(data).read_all().combine_chunks()
         self.texts = self.batch.column(text).to_pylist()
-        self.words = [t.encode().split() if t else [] for t in self.texts]  # bytes: ASCII white space only
-        self.sizes = np.array(list(map(len, self.words)), np.int64)
+        self.words: list[list[bytes]] | None = []
+        sizes = []
+
+        def split() -> Iterator[list[bytes]]:
+            for t in self.texts:
+                w = t.encode().split() if t else []  # bytes: ASCII white space only
+                sizes.append(len(w))
+                if words:
+                    self.words.append(w)
+                yield w
+
+        self.hashes, self.seconds = word_hashes(split())
+        self.sizes = np.array(sizes, np.int64)
         self.ends = np.cumsum(self.sizes)
-        self.hashes, self.seconds = word_hashes(self.words)
         if not words:
             self.words = self.texts = None
 
