@@ -1,15 +1,15 @@
 """Byte-level BPE over whole texts, a distinct unit at a time.
 
-A byte-level BPE splits a text by a pattern first, and each match is merged by itself. A space with a
-non-space after it always begins a match, whatever stands before it, so a text falls apart at those spaces
-into units whose ids do not depend on their surroundings. Units recur: a run of texts is split, its units
-are numbered and looked up by Arrow's hash kernels, only new ones meet the tokenizer's library, and the ids of
-all texts are gathered from the units' by numpy. Texts that can't be split so (a space before another space
-or at the end, or a special string inside) go to the library whole.
+A byte-level BPE splits a text by a pattern first, and each match is merged by itself. At many places a match
+begins whatever else the text holds, as between a letter and a full stop or before a space and a letter (see _TABLE),
+so a text falls apart there into units whose ids do not depend on their surroundings. Units recur: a run of texts is
+split, its units are numbered and looked up by Arrow's hash kernels, only new ones meet the tokenizer's library, and
+the ids of all texts are gathered from the units' by numpy. Texts with a special string inside go to the library whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -19,8 +19,28 @@ import pyarrow.compute as pc
 
 from loomdoc.llm.common import trim
 
-#: A space that does not begin a unit.
-_UNSAFE = re.compile(r" (?=\s|\Z)")
+#: Kinds of bytes: others (all that is not sure), letters, digits, ASCII punctuation and symbols, the apostrophe, the space, tabs
+#: and line ends. Both bytes of the letters from U+00C0 to U+00FF are letters, which units_of() adds.
+_OTHER, _LETTER, _DIGIT, _MARK, _QUOTE, _SPACE, _LINE = range(7)
+_KINDS = bytes(_LETTER if chr(b).isalpha() else _DIGIT if chr(b).isdigit() else _QUOTE if b == 39 else _SPACE if b == 32 else _LINE if b in b"\t\n\r" else _MARK if 33 <= b < 127 else _OTHER for b in range(128)) + bytes(128)
+_BLANK, _FULL = (_SPACE, _LINE), (_LETTER, _DIGIT, _MARK, _QUOTE)
+
+
+def _rule(a: int, b: int) -> int:
+    """Of bytes of kinds a and b in a row: 1 if a match begins with b, plus 2 if one begins with a.
+
+    A run of letters or of digits ends where it ends, and so does one of marks, though an apostrophe may take letters with
+    it. White space after anything else begins a match; of several, the last before something else begins one, and
+    only a space becomes part of what follows it. Without its surroundings no part is matched otherwise: the pattern looks
+    ahead after white space alone, and whether white space or the end follows is one to it.
+    """
+    with_b = a in (_LETTER, _DIGIT) and b in _FULL and a != b or a == _MARK and b in (_LETTER, _DIGIT) or a in _FULL and b in _BLANK or a == _LINE and b in _FULL
+    return with_b + 2 * (a in _BLANK and b in _FULL)
+
+
+_TABLE = bytes(_rule(i >> 3, i & 7) for i in range(64)) + bytes(192)
+#: Units before which a match begins as they are, and those for which one does after a line end.
+_AFTER_ALL, _AFTER_LINE = re.compile(r" [!-~\u00c0-\u024f]").match, re.compile(r"[!-~\u00c0-\u024f]").match
 #: Characters of text in a run, and in a part of a longer text.
 RUN_CHARS = 4_000_000
 #: Characters that the library gets in a call, unless one text has more; it takes some 200 bytes for each until the call ends.
@@ -45,6 +65,31 @@ def split_long(text: str, run: int) -> Iterator[str]:
     yield text[at:]
 
 
+def units_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts in one array, and how many each text has; together they are the texts."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[: len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[: bounds[-1]]
+    if not len(data):
+        return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+    kinds = np.frombuffer(bytearray(data.tobytes().translate(_KINDS)), np.uint8)
+    pairs = np.flatnonzero(data[:-1] == 0xC3)
+    pairs = pairs[data[pairs + 1] & 0xDF != 0x97]  # not the signs of multiplication and division
+    kinds[pairs] = kinds[pairs + 1] = _LETTER
+    rule = np.frombuffer((kinds[:-1] << 3 | kinds[1:]).tobytes().translate(_TABLE), np.uint8)
+    own = rule > 1
+    full = bounds[:-1] < bounds[1:]
+    starts = bounds[:-1][full]
+    own[starts[1:] - 1] = False  # what follows is another text
+    begins = np.zeros(len(data), bool)
+    begins[:-1] = own
+    begins[1:] |= rule & 1 != 0
+    begins[starts] = True
+    at = np.flatnonzero(begins).astype(np.int32)
+    counts = np.zeros(len(texts), np.int64)
+    counts[full] = np.diff(np.append(np.searchsorted(at, starts), len(at)))
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, bounds[-1])), texts.buffers()[2]), counts
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions starts[i], ..., starts[i] + lengths[i] - 1 for every i in turn."""
     ends = np.cumsum(lengths)
@@ -75,39 +120,34 @@ class Units:
         self.ids, self.starts, self.lengths = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _unsafe(self, text: str) -> bool:
-        return bool(_UNSAFE.search(text) or self.special and self.special.search(text))
+        return bool(self.special and self.special.search(text))
 
     def _run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and numbers of ids of texts that can be split at their spaces."""
-        parts = pc.split_pattern(pa.array(texts, pa.string()), " ")
-        bounds = parts.offsets.to_numpy()
-        coded = parts.values.dictionary_encode()
+        """Ids and numbers of ids of texts without special strings."""
+        parts, own = units_of(pa.array(texts, pa.string()))
+        coded = parts.dictionary_encode()
         del parts  # a run's arrays go as soon as they are used, or they add up to many times its text
         units, index = coded.dictionary, coded.indices.to_numpy()
-        first = bounds[:-1]
         at = pc.index_in(units, self.known)
         where = at.fill_null(-1).to_numpy().astype(np.int32)
         del at
         missing = np.flatnonzero(where < 0)
         new = units.take(pa.array(missing))
-        heads = [t.partition(" ")[0] for t in texts]  # these have no space before them
-        names = dict.fromkeys(heads)
-        ids, lengths = self.encode([" " + u if u else "" for u in new.to_pylist()] + list(names))
+        ids, lengths = self.encode(new.to_pylist())
         starts = np.cumsum(lengths) - lengths
-        own = len(self.ids)
         n = len(missing)
         base_starts, base_lengths, base_ids = self.starts, self.lengths, self.ids
         if n > 0.9 * len(units) and len(self.known) > 0.9 * (self.most or MAX_UNITS):
             self.forget()  # the texts have changed
         all_ids = np.concatenate([base_ids, ids])
-        all_starts = np.concatenate([base_starts, starts + own])
+        all_starts = np.concatenate([base_starts, starts + len(base_ids)])
         all_lengths = np.concatenate([base_lengths, lengths])
         where[missing] = len(base_starts) + np.arange(n)
-        code = dict(zip(names, range(len(base_starts) + n, len(base_starts) + n + len(names)), strict=True))
         index = where[index]
         del coded, where
-        index[first] = [code[h] for h in heads]
-        counts = np.add.reduceat(all_lengths.astype(np.int32)[index], first, dtype=np.int64)
+        counts, some = np.zeros(len(texts), np.int64), own > 0
+        if some.any():
+            counts[some] = np.add.reduceat(all_lengths.astype(np.int32)[index], (np.cumsum(own) - own)[some], dtype=np.int64)
         out, done = np.empty(int(counts.sum()), "<u4"), 0
         for at in range(0, len(index), GATHER):
             some = index[at : at + GATHER]
@@ -116,11 +156,10 @@ class Units:
             done += len(got)
         del index
         if len(self.known) + n <= (self.most or MAX_UNITS) and n:
-            more = int(lengths[:n].sum())
             self.known = pa.concat_arrays([self.known, new])
-            self.ids = np.concatenate([self.ids, ids[:more]])
-            self.starts = np.concatenate([self.starts, starts[:n] + len(self.ids) - more])
-            self.lengths = np.concatenate([self.lengths, lengths[:n]])
+            self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+            self.ids = np.concatenate([self.ids, ids])
+            self.lengths = np.concatenate([self.lengths, lengths])
         return out, counts
 
     def __call__(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -170,10 +209,13 @@ def json_units(path: str, run: int = 0, most: int = 0) -> Units:
 
     tok = Tokenizer.from_file(path)
     special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
-    fence = next((s for s, i in special.items()), None)
-
-    def flat(text: str) -> np.ndarray:
-        return np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    fence = next(iter(special), None)
+    state = json.loads(tok.pre_tokenizer.__getstate__()) if tok.pre_tokenizer else {}
+    plain = tok.normalizer is None and state.get("type") == "ByteLevel" and state.get("use_regex") and not state.get("add_prefix_space")
+    vocab = tok.get_vocab(with_added_tokens=False)
+    size_of = np.zeros(max([*vocab.values(), *special.values()], default=0) + 1, np.int64)
+    size_of[list(vocab.values())] = list(map(len, vocab))  # a character stands for a byte
+    size_of[list(special.values())] = [len(x.encode()) for x in special]
 
     def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Texts by calls of moderate size."""
@@ -188,16 +230,20 @@ def json_units(path: str, run: int = 0, most: int = 0) -> Units:
         return tuple(np.concatenate([none, *x]) for none, x in zip((np.zeros(0, "<u4"), np.zeros(0, np.int64)), zip(*parts, strict=True) if parts else ((), ()), strict=True))
 
     def call(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All in one call, with a special string between them, which the library takes out first."""
-        if fence is None or any(fence in t for t in texts):
-            each = [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.concatenate([np.zeros(0, "<u4"), *each]), np.array([len(x) for x in each], np.int64)
-        got = flat(fence.join(texts))
-        between = np.flatnonzero(got == special[fence])
-        bounds = np.concatenate([[-1], between, [len(got)]])
-        return np.delete(got, between), (np.diff(bounds) - 1)[: len(texts)]
-
-    return Units(encode, tuple(special), run, most)
+        """All in one call, one after another: as they are, after a line end, or between special strings, which the library takes out first."""
+        if plain and fence is not None and not any(fence in t for t in texts):
+            joins = [("", "") if _AFTER_ALL(t) else ("\n", "") if _AFTER_LINE(t) else (fence, fence) for t in texts]
+            ids = np.array(tok.encode_batch_fast(["".join([x for (a, b), t in zip(joins, texts, strict=True) for x in (a, t, b)])], add_special_tokens=False)[0].ids, "<u4")
+            sizes = np.array([(len(a), len(t.encode()), len(b)) for (a, b), t in zip(joins, texts, strict=True)], np.int64)
+            ends = np.cumsum(sizes).reshape(-1, 3)
+            at = np.concatenate([[0], np.cumsum(size_of[ids])])  # bytes before each id
+            first, last = np.searchsorted(at, ends[:, 0]), np.searchsorted(at, ends[:, 1])
+            if at[-1] == ends[-1, 2] and (at[first] == ends[:, 0]).all() and (at[last] == ends[:, 1]).all():
+                return ids[spread(first, last - first)], last - first
+        each = [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, "<u4"), *each]), np.array([len(x) for x in each], np.int64)
+
+    return Units(encode, tuple(special) if plain else ("",), run, most)  # by another pattern texts don't fall apart
 
 
 _loaded: dict = {}
